@@ -28,7 +28,7 @@ from .common import Words, grams, steps, stored, text_batches, utf8
 
 WINDOW, RUN = 50, 10
 SPAN = WINDOW - RUN + 1  # runs in a window
-SHARD_WORDS = 250_000
+SHARD_WORDS = 1_000_000
 
 
 # --- the index ---------------------------------------------------------------------------------------------------
@@ -50,6 +50,9 @@ def suffix_order(symbols: np.ndarray) -> np.ndarray:
         step *= 2
 
 
+_BELOW = (np.uint64(1) << np.arange(64, dtype=np.uint64)) - np.uint64(1)
+
+
 class Wavelet:
     """A wavelet matrix: a level per bit of the symbols, bits packed in 64s with counts before each block."""
 
@@ -63,23 +66,23 @@ class Wavelet:
             before = np.concatenate([[0], np.cumsum(np.bitwise_count(blocks), dtype=np.int64)]).astype(np.int32)
             self.levels.append((bit, blocks, before, int(len(ones) - ones.sum())))
             symbols = np.concatenate([symbols[~ones], symbols[ones]])
+        self.first = np.zeros(top + 1, np.int64)  # where each symbol's occurrences start at the last level
+        self.first = self.rank(np.arange(top + 1), np.zeros((1, top + 1), np.int64))[0]
 
     def rank(self, symbol: np.ndarray, at: np.ndarray) -> np.ndarray:
         """How often each symbol occurs before each place; ``symbol`` (n,), ``at`` (k, n)."""
-        low = np.zeros(len(symbol), np.int64)
-        both = np.concatenate([at, low[None]])
         for bit, blocks, before, zeros in self.levels:
-            block = both >> 6
-            ones = before[block] + np.bitwise_count(blocks[block] & ((np.uint64(1) << (both & 63).astype(np.uint64)) - np.uint64(1)))
-            both = np.where(symbol >> bit & 1, zeros + ones, both - ones)
-        return both[:-1] - both[-1]
+            block = at >> 6
+            ones = before[block] + np.bitwise_count(blocks[block] & _BELOW[at & 63])
+            at = np.where(symbol >> bit & 1, ones + zeros, at - ones)
+        return at - self.first[symbol]
 
 
 class RangeLeast:
     """Least value of any range, by a sparse table."""
 
     def __init__(self, values: np.ndarray) -> None:
-        self.rows = [values]
+        self.rows = [values.astype(np.int32)]
         while 2 << (len(self.rows) - 1) <= len(values):
             half = 1 << (len(self.rows) - 1)
             self.rows.append(np.minimum(self.rows[-1][:-half], self.rows[-1][half:]))
@@ -120,19 +123,20 @@ class Index:
     def repeated(self, texts: list[np.ndarray], owners: np.ndarray, window: int = WINDOW) -> list[np.ndarray]:
         """For each text, which of its windows occur in a text with a smaller owner. All texts are searched in step.
 
-        From the right: extend to the left as far as a smaller owner has it; a match of a window's length or more decides
-        all windows in it. A shorter match moves its right end by one. Then, from the left, the windows before the match:
-        where a search fails at a place, every window over that place and its end fails, and the next starts behind it.
+        A search runs to the left as far as a smaller owner has the words. From the left, window by window: where a search
+        fails at a place, every window over that place and its end fails, and the next starts behind it. When a window
+        succeeds, those behind it are taken from the right: a match of a window's length or more decides all windows in
+        it, a shorter one moves its right end by one; what is before the match is taken from the left again.
         """
         sizes = np.array([len(t) for t in texts])
         start = np.cumsum(sizes) - sizes
         text = self.encode(np.concatenate(texts))
         found = np.zeros(len(text), bool)  # by a window's first word
         alive = np.flatnonzero(sizes >= window)
-        right = sizes[alive] - 1  # last word of the search
+        right = np.full(len(alive), window - 1)  # last word of the search
         left = np.zeros(len(alive), np.int64)  # first window to be decided
         stop = sizes[alive] - window  # last window to be decided
-        forward = np.zeros(len(alive), bool)
+        forward = np.ones(len(alive), bool)
         at, low, high = right.copy(), np.zeros(len(alive), np.int64), np.full(len(alive), self.size)
         while len(alive):
             symbol = text[start[alive] + at]
@@ -153,10 +157,10 @@ class Index:
                 stop[ended] = np.where(turn, first - 1, stop[ended])
                 left[ended] = np.where(go, first, left[ended])
                 left[ended] = np.where(go & match, first + 1, left[ended])
-                forward[ended] = go | turn
-                right[ended] = np.where(forward[ended], left[ended] + window - 1, last - 1)
+                forward[ended] = (go & ~match) | turn
+                right[ended] = np.where(forward[ended], left[ended] + window - 1, np.where(go, stop[ended] + window - 1, last - 1))
                 at[ended], low[ended], high[ended] = right[ended], 0, self.size
-                done = ended & np.where(forward, left > stop, right < window - 1)
+                done = ended & ((left > stop) | (right - window + 1 < left))
                 if done.any():
                     keep = ~done
                     alive, right, left, stop, forward, at, low, high = (x[keep] for x in (alive, right, left, stop, forward, at, low, high))
