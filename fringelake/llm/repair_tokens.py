@@ -34,6 +34,17 @@ MAGIC = b"FLRP0001"
 BLOCKS = "shard int, block int, first_id long, n_ids long, payload binary"
 
 
+def counted(pair: np.ndarray, slot: np.ndarray, n_slots: int) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct pairs, and each row's place among them; only pairs that share a slot with another are sorted."""
+    found = np.zeros(n_slots, np.uint64)
+    found[slot] = pair
+    other = np.flatnonzero(found[slot] != pair)
+    rest, at = np.unique(pair[other], return_inverse=True)
+    place = slot.astype(np.int64)
+    place[other] = n_slots + at
+    return np.concatenate([found, rest]), place
+
+
 def compress(ids: np.ndarray, bounds: np.ndarray, rounds: int = ROUNDS, rules: int = RULES, least: int = LEAST) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Symbols, their bounds by document, the rules (left, right), and the length that each rule expands to."""
     seq = ids.astype(np.uint32)
@@ -51,9 +62,15 @@ def compress(ids: np.ndarray, bounds: np.ndarray, rounds: int = ROUNDS, rules: i
         bucket[opens[1 : len(seq)]] = 1 << 22  # no pair across documents
         count = np.bincount(bucket, minlength=(1 << 22) + 1)
         count[1 << 22] = 0
-        floor = max(least, int(np.partition(count, -room)[-room]))
-        spots = np.flatnonzero(count[bucket] >= floor)
-        found, inverse, n = np.unique(pair[spots], return_inverse=True, return_counts=True)
+        often = np.flatnonzero(count >= least)
+        floor = max(least, int(np.partition(count[often], -room)[-room])) if len(often) >= room else least
+        often = often[count[often] >= floor]
+        slot = np.full(len(count), -1, np.int32)
+        slot[often] = np.arange(len(often))
+        slot = slot[bucket]
+        spots = np.flatnonzero(slot >= 0)
+        found, inverse = counted(pair[spots], slot[spots], len(often))
+        n = np.bincount(inverse, minlength=len(found))
         best = np.lexsort((found, -n))[:room]
         best = best[n[best] >= least]
         if not len(best):
