@@ -7,18 +7,34 @@ Words are found and counted in Arrow; the tokenizers library encodes what is new
 from __future__ import annotations
 
 import os
+import re
 from array import array
 
 import numpy as np
 import pyarrow as pa
 
-from .common import Words
+from .common import Words, utf8
 
 END_ID = 1
-CACHE_WORDS = 1_000_000
+CACHE_WORDS, CACHE_BYTES = 1_000_000, 64  # parts kept, and the longest of them
 STEP = 6 << 20  # bytes of text per vectorised step
 _have: dict[str, "WordTokens"] = {}
 
+# The tokenizer's pattern on lower-case ASCII: the pieces that it makes of a word.
+_ASCII_PIECE = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\x20\x09-\x0Da-z0-9]+")
+# Letters whose composed form and lower case are one character each, so a word of them is one piece.
+_LATIN = re.compile(r"[A-Za-z\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u00FF]+")
+
+
+def _byte_level() -> dict[int, str]:
+    """The character that stands for each byte: itself where it is visible, else the next one from U+0100 on."""
+    seen = [b for b in range(256) if 0x21 <= b <= 0x7E or 0xA1 <= b <= 0xAC or b >= 0xAE]
+    hidden = [b for b in range(256) if b not in seen]
+    return {b: chr(b) for b in seen} | {b: chr(256 + i) for i, b in enumerate(hidden)}
+
+
+_BYTE_LEVEL = _byte_level()
+
 
 class WordTokens:
     """Not for direct use; see ``tokens_of``."""
@@ -35,19 +51,26 @@ class WordTokens:
 
     def of_word(self, word: bytes) -> bytes:
         """The ids of one word as 16-bit integers."""
-        low = word.lower() if word.isascii() else word  # the tokenizer folds case itself
-        if len(low) > 1 and low[-1] in b".," and low[-2:-1].isalnum():  # the pattern splits here as well
-            return self.of_part(low[:-1]) + self.of_part(low[-1:])
-        return self.of_part(low)
+        if not word.isascii() or b"<|" in word:  # the latter may be a special token, which the tokenizer has to find
+            return self.of_part(word)
+        low = word.lower()  # the tokenizer folds case itself
+        if low.isalpha():
+            return self.of_part(low)
+        return b"".join(self.of_part(x.encode()) for x in _ASCII_PIECE.findall(low.decode()))
 
     def of_part(self, part: bytes) -> bytes:
         got = self.have.get(part)
         if got is None:
+            text = part.decode()
             if part.isascii() and part.isalpha():  # one piece of the pattern, and its own normal form
-                ids = [x.id for x in self.model.tokenize(part.decode())]
+                ids = [x.id for x in self.model.tokenize(text)]
+            elif _LATIN.fullmatch(text):
+                ids = [x.id for x in self.model.tokenize(text.lower().encode().decode("latin-1").translate(_BYTE_LEVEL))]
             else:
-                ids = self.tokenizer.encode(part.decode(), add_special_tokens=False).ids
-            got = self.have[part] = array("H", ids).tobytes()
+                ids = self.tokenizer.encode(text, add_special_tokens=False).ids
+            got = array("H", ids).tobytes()
+            if len(part) <= CACHE_BYTES:
+                self.have[part] = got
         return got
 
     def encode(self, data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -59,7 +82,9 @@ class WordTokens:
         have, of_word = self.have, self.of_word
         if len(have) > CACHE_WORDS:
             have.clear()
-        own = [have.get(w) or of_word(w) for w in coded.dictionary.to_pylist()]
+        chars, cuts = utf8(coded.dictionary)
+        chars, cuts = chars.tobytes(), cuts.tolist()
+        own = [have.get(w) or of_word(w) for w in (chars[a:b] for a, b in zip(cuts[:-1], cuts[1:], strict=True))]
         flat = np.frombuffer(b"".join(own), np.uint16)
         size = np.fromiter(map(len, own), np.int64, len(own)) // 2
         start = np.cumsum(size) - size
