@@ -78,6 +78,16 @@ def test_decontamination(spark, docs, empty):
     assert W.decontaminate(docs, bench.limit(0)).where("n_hit > 0").count() == 0
 
 
+def test_words_are_encoded_as_the_tokenizer_encodes_texts():
+    rng = np.random.default_rng(5)
+    letters = np.array(list("aZé'ÉßsStlL1.,%<|> \n\x1c\x85éİΣ"))
+    texts = ["It's we'll'd ''s 'S 12ab3", "<|endoftext|> <|ENDOFTEXT|> a<|startoftext|>b", "İstanbul ΣΑΣ ﬁ ªº µ ×÷", "a\x00b \x1c\x1d x\x85y \u3000k \u2028", "日本語 中文。 naïve-café", *TEXTS]
+    texts += ["".join(rng.choice(letters, n)) for n in rng.integers(1, 25, 3000)]
+    ids, bounds = tokens_of(vocabulary()).encode(*utf8(pa.array(texts, pa.large_string())))
+    for text, a, b in zip(texts, bounds[:-1], bounds[1:], strict=True):
+        assert ids[a:b].tolist() == ids_of(text).tolist(), text
+
+
 def test_repair_round_trip(spark, docs, empty):
     rng = np.random.default_rng(0)
     ids = rng.choice([5, 6, 7, 49407], 5000, p=[0.5, 0.3, 0.1, 0.1]).astype(np.uint16)
