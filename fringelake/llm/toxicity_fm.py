@@ -24,8 +24,8 @@ from .common import Words, steps, text_batches, utf8
 BITS, RANK, SAMPLE = 18, 6, 20_000
 DIMS = 1 << BITS
 BEGIN = 6
-EPOCHS, BATCH, RATE, DECAY, LEAST_DOCS = 8, 256, 0.15, 1e-3, 4
-LEAST_Z, FREQUENT = 4.0, 0.1
+EPOCHS, BATCH, RATE, DECAY, LEAST_DOCS = 20, 256, 0.15, 1e-3, 4
+LEAST_Z, PAIR_Z, FREQUENT, PAIR_ROWS = 4.0, 6.0, 0.1, 1000
 
 
 def terms(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -60,15 +60,35 @@ class Machine:
         return 1 / (1 + np.exp(-np.clip(self.raw(row[used], feature[used], n)[0], -30, 30)))
 
 
+def differs(pos: np.ndarray, both: np.ndarray, ones: float, every: int) -> np.ndarray:
+    """By how many standard errors a term's share among rows of label 1 differs from that among the others."""
+    share = both / every
+    spread = share * (1 - share) * (1 / max(1, ones) + 1 / max(1, every - ones))
+    return np.abs(pos / max(1, ones) - (both - pos) / max(1, every - ones)) / np.sqrt(np.maximum(1e-12, spread))
+
+
 def chosen(rows: list[np.ndarray], labels: np.ndarray) -> np.ndarray:
-    """The features to learn: those whose share among rows of either label differs beyond chance, and frequent ones."""
+    """The features to learn: those whose share among rows of either label differs beyond chance, and frequent ones that
+    are in a pair whose share does. Others would only dilute them."""
     of = np.repeat(labels, [len(r) for r in rows])
     feature = np.concatenate(rows).astype(np.int64)
     ones, every = labels.sum(), len(labels)
     pos, both = np.bincount(feature, of, DIMS), np.bincount(feature, minlength=DIMS)
-    share = both / every
-    z = (pos / max(1, ones) - (both - pos) / max(1, every - ones)) / np.sqrt(np.maximum(1e-12, share * (1 - share) * (1 / max(1, ones) + 1 / max(1, every - ones))))
-    return (both >= LEAST_DOCS) & ((np.abs(z) >= LEAST_Z) | (share >= FREQUENT))
+    out = (both >= LEAST_DOCS) & (differs(pos, both, ones, every) >= LEAST_Z)
+    often = np.flatnonzero(~out & (both >= FREQUENT * every))  # at most the mean row's terms / FREQUENT
+    place = np.full(DIMS, -1)
+    place[often] = np.arange(len(often))
+    pos2, both2 = np.zeros((2, len(often), len(often)), np.float32)
+    for at in range(0, every, PAIR_ROWS):
+        some = rows[at : at + PAIR_ROWS]
+        have = np.zeros((len(some), len(often)), np.float32)
+        for i, r in enumerate(some):
+            own = place[r]
+            have[i, own[own >= 0]] = 1
+        both2 += have.T @ have
+        pos2 += have.T @ (have * labels[at : at + PAIR_ROWS, None].astype(np.float32))
+    out[often[((both2 >= LEAST_DOCS) & (differs(pos2, both2, ones, every) >= PAIR_Z)).any(axis=0)]] = True
+    return out
 
 
 def train(rows: list[np.ndarray], labels: np.ndarray, seed: int = 3) -> Machine:
