@@ -254,7 +254,7 @@ def repeated_passages(docs: DataFrame, doc: str = "doc_id", text: str = "text",
     text_batches(spark)
     docs = docs.select(F.coalesce(F.col(doc).cast("long"), F.lit((1 << 63) - 1)).alias("doc_id"), F.col(text).alias("text"))
     rows = stored(anchor_rows(docs), "anchors")
-    shared = rows.groupBy("anchor").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b")).where("a < b").select("anchor")
+    shared = stored(rows.groupBy("anchor").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b")).where("a < b").select("anchor"), "shared")  # a table, so that AQE can split an anchor that many documents have
     places = rows.join(shared, "anchor").groupBy("doc_id").agg(F.array_distinct(F.collect_list("at")).alias("shared"))
     pieces = stored(piece_rows(docs.join(places, "doc_id").select("doc_id", "text", "shared")), "pieces")
     # hash decides the content; equal pieces go to the index once
