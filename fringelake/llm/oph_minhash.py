@@ -4,7 +4,9 @@ A document's set is its distinct five-word shingles. One hash of each shingle fi
 values; an empty bin takes the value of the first filled bin in an order of its own (optimal densification). Bands of
 ``ROWS`` bins are buckets. Equal sets are one node from the start, so copies never meet as pairs. In a bucket, two of
 its nodes are centres of stars (the least id, and the least by a hash that differs from bucket to bucket), and every
-node is a candidate with them only. Candidates whose set sizes allow the similarity are confirmed on their full sets.
+node is a candidate with them. Candidates whose set sizes allow the similarity are confirmed on their full sets. Rounds
+with new centres follow in buckets whose other nodes are not all in one component yet: first the node with the fullest
+buckets, then more and more of the rest, until every two nodes of a bucket are in one component or were compared.
 
 Defined cases: texts without words have empty sets and are linked with nothing; a text of fewer than five words has its
 whole sequence as its one shingle; rows with equal ids and texts get equal results; a null id is linked with nothing and
@@ -14,6 +16,7 @@ kept; an empty table gives no rows; other columns of the input are not read.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -97,30 +100,81 @@ def full_sets(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(run, "node long, members array<long>")
 
 
-def candidates(nodes: DataFrame, share: int = SHARE) -> DataFrame:
-    """Pairs (a, b), a < b, of ``nodes (node, n, bands)`` from the stars of all buckets, where the sizes allow the share."""
+def buckets(nodes: DataFrame) -> DataFrame:
+    """(key, node, n, centres) for the buckets of two nodes or more of ``nodes (node, n, bands)``."""
     rows = nodes.select("node", "n", F.explode("bands").alias("key"))
     one = F.struct("node", "n")
     stars = rows.groupBy("key").agg(F.min(one).alias("c1"), F.min(F.struct(F.xxhash64("key", "node").alias("h"), F.col("node").alias("node"), F.col("n").alias("n"))).alias("c2"), F.count("*").alias("m")).where("m > 1")
-    stars = stars.select("key", F.array_distinct(F.array("c1", F.struct("c2.node", "c2.n"))).alias("centres"))
-    pairs = rows.join(stars, "key").select("node", "n", F.explode("centres").alias("c")).where("node <> c.node")
-    pairs = pairs.where(F.least("n", "c.n") * 100 >= F.greatest("n", "c.n") * share)
+    return rows.join(stars.select("key", F.array_distinct(F.array("c1", F.struct("c2.node", "c2.n"))).alias("centres")), "key")
+
+
+def _paired(pairs: DataFrame, share: int) -> DataFrame:
+    """Pairs (a, b), a < b, of ``pairs (node, n, c (node, n))`` where the sizes allow the share."""
+    pairs = pairs.where("node <> c.node").where(F.least("n", "c.n") * 100 >= F.greatest("n", "c.n") * share)
     return pairs.select(F.least("node", "c.node").alias("a"), F.greatest("node", "c.node").alias("b")).distinct()
 
 
+def candidates(shared: DataFrame, share: int = SHARE) -> DataFrame:
+    """Pairs from the stars of all ``buckets``."""
+    return _paired(shared.select("node", "n", F.explode("centres").alias("c")), share)
+
+
+def unsettled(rest: DataFrame, found: DataFrame) -> DataFrame:
+    """``rest (key, node, n)`` of the buckets whose nodes are in several components, with component and m (nodes of the bucket)."""
+    placed = rest.select("key", "node", "n").join(small_side(found), "node", "left").withColumn("component", F.coalesce("component", "node"))
+    mixed = placed.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y"), F.count("*").alias("m")).where("x < y").select("key", "m")
+    return placed.join(mixed, "key")
+
+
+def with_centres(open_: DataFrame, k: int) -> DataFrame:
+    """``open_`` with a flag ``centre``: the node of each bucket that meets most others in all its buckets, and about k more by a hash."""
+    weights = open_.groupBy("node").agg(F.sum("m").alias("weight"))
+    weighed = open_.join(weights, "node")
+    hubs = weighed.groupBy("key").agg(F.max(F.struct("weight", "node")).alias("hub")).select("key", F.col("hub.node").alias("hub"))
+    drawn = F.pmod(F.xxhash64("key", "node", F.lit(k)), F.lit(1 << 20)) * F.col("m") < F.lit(k << 20)
+    return open_.join(hubs, "key").withColumn("centre", (F.col("node") == F.col("hub")) | drawn).drop("hub")
+
+
+def confirmed(docs: DataFrame, pairs: DataFrame, share: int) -> DataFrame:
+    """The pairs whose full sets have the share."""
+    ends = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
+    own = stored(full_sets(docs.join(small_side(ends), "doc_id", "left_semi").dropDuplicates(["doc_id"])), "sets")
+    both = pairs.join(own.select(F.col("node").alias("a"), F.col("members").alias("x")), "a").join(own.select(F.col("node").alias("b"), F.col("members").alias("y")), "b")
+    common = F.size(F.array_intersect("x", "y")).cast("long")
+    return stored(both.select("a", "b", (common * 100 >= (F.size("x") + F.size("y") - common) * share).alias("linked")).where("linked").select("a", "b"), "links")
+
+
+def linked(docs: DataFrame, nodes: DataFrame, share: int = SHARE) -> tuple[DataFrame, DataFrame]:
+    """Confirmed links (a, b), and (node, component) of the nodes that have any."""
+    shared = stored(buckets(nodes), "shared")
+    compared = [stored(candidates(shared, share), "pairs")]
+    links = [confirmed(docs, compared[0], share)]
+    found = stored(components(links[0]), "found")
+    # a centre has met all of its bucket and leaves it
+    rest, k = shared.where("not exists(centres, c -> c.node = node)"), 0
+    while True:
+        open_ = stored(unsettled(rest, found), "open")
+        if open_.isEmpty():
+            return reduce(DataFrame.union, links), found
+        rest = stored(with_centres(open_, k), "centred")
+        centres = rest.where("centre").select("key", F.struct("node", "n", "component").alias("c"))
+        pairs = _paired(rest.join(centres, "key").where("component <> c.component"), share)
+        pairs = stored(pairs.join(reduce(DataFrame.union, compared), ["a", "b"], "left_anti"), "pairs")
+        compared.append(pairs)
+        new = confirmed(docs, pairs, share)
+        if not new.isEmpty():
+            links.append(new)
+            found = stored(components(reduce(DataFrame.union, links)), "found")
+        rest, k = rest.where("not centre"), max(8, k * 8)
+
+
 def near_duplicates(docs: DataFrame, doc: str = "doc_id", text: str = "text", share: int = SHARE) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id, n_links (confirmed, between different sets), kept."""
     text_batches(docs.sparkSession)
     docs = docs.select(F.col(doc).cast("long").alias("doc_id"), F.col(text).alias("text"))
     sketches = stored(sketch(docs), "sketch")
     nodes = stored(sketches.where("digest is not null and doc_id is not null").groupBy("digest").agg(F.min("doc_id").alias("node"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands")), "nodes")
-    pairs = stored(candidates(nodes, share), "pairs")
-    ends = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    own = stored(full_sets(docs.join(small_side(ends), "doc_id", "left_semi").dropDuplicates(["doc_id"])), "sets")
-    both = pairs.join(own.select(F.col("node").alias("a"), F.col("members").alias("x")), "a").join(own.select(F.col("node").alias("b"), F.col("members").alias("y")), "b")
-    common = F.size(F.array_intersect("x", "y")).cast("long")
-    links = stored(both.select("a", "b", (common * 100 >= (F.size("x") + F.size("y") - common) * share).alias("linked")).where("linked").select("a", "b"), "links")
-    found = components(links)
+    links, found = linked(docs, nodes, share)
     degree = links.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count("*").alias("n_links"))
     placed = nodes.select("digest", "node").join(found, "node", "left").join(degree, "node", "left").select("digest", F.coalesce("component", "node").alias("component_id"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
     out = sketches.select("doc_id", "n_shingles", "digest").join(placed, "digest", "left")

@@ -254,6 +254,21 @@ def test_near_duplicates(spark, docs, empty):
     assert oph_minhash.near_duplicates(empty).count() == 0
 
 
+def test_near_copies_that_only_their_original_links(spark):
+    """A thousand copies, each 0.905 alike to an original with a middle id and about 0.82 to one another."""
+    rng = np.random.default_rng(5)
+    words = [f"w{i}" for i in range(304)]
+    rows = [(500, " ".join(words))]
+    for i in [i for i in range(1001) if i != 500]:
+        copy = list(words)
+        for at in rng.integers(0, 60, 3) + (5, 120, 235):
+            copy[at] = f"c{i}x{at}"
+        rows.append((i, " ".join(copy)))
+    got = oph_minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert len(got) == 1001 and {r.n_shingles for r in got} == {300} and {r.component_id for r in got} == {0}
+    assert [r.doc_id for r in got if r.kept] == [0]
+
+
 def test_packing(spark, docs, empty):
     assert sum(k * v for k, v in pack_slack.fill(100, {60: 1, 45: 2, 10: 1, 7: 3}).items()) == 100
     for counts in ({5: 3, 7: 2, 64: 1}, {33: 50, 31: 1}):
