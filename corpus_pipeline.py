@@ -14,6 +14,7 @@ from fringelake.llm.common import read, stored
 from fringelake.llm.tokens import vocabulary
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+SHARE = 80  # per cent of the union from which near_dedup links
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -30,8 +31,8 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group stays."""
-    gone = stored(oph_minhash.near_duplicates(docs).where("not kept").select("doc_id").distinct(), "gone")
+    """One document of each group stays; documents of a similarity of 0.8 or more are linked."""
+    gone = stored(oph_minhash.near_duplicates(docs, share=SHARE).where("not kept").select("doc_id").distinct(), "gone")
     return docs.join(gone, "doc_id", "left_anti").select(COLUMNS)
 
 

@@ -303,3 +303,12 @@ def test_pipeline(spark):
         d = stage(spark, d, SF)
         assert d.columns == P.COLUMNS and {r.doc_id for r in d.select("doc_id").collect()} <= before
     assert names[0] == "quality" and names[-1] == "packing" and d.count() > 100
+
+
+def test_pipeline_links_at_four_fifths(spark):
+    import corpus_pipeline as P
+
+    words = [f"w{i}" for i in range(304)]
+    texts = [words, ["c" if i in (50, 100, 150, 200, 250, 300) else w for i, w in enumerate(words)], ["c" if i % 40 == 20 else w for i, w in enumerate(words)]]  # 0.824 and 0.770 alike to the first
+    d = spark.createDataFrame([(i, " ".join(t), "en", "s", 1) for i, t in enumerate(texts)], "doc_id long, text string, lang string, source string, n_chars long")
+    assert {r.doc_id for r in P.near_dedup(spark, d, SF).collect()} == {0, 2}
