@@ -9,8 +9,8 @@ Intervals of at least ``WINDOW`` words are reported.
 
 Words are compared by 64-bit hashes of their bytes.
 
-Defined cases: null, empty and short texts have no windows; rows with equal ids count as one document; a null id comes
-after all others; an empty table gives no rows; other columns of the input are not read.
+Defined cases: null, empty and short texts have no windows; rows with equal ids and texts count as one document, and
+texts that share an id, or have none, as several; a null id comes after all others; an empty table gives no rows; other columns of the input are not read.
 """
 
 from __future__ import annotations
@@ -196,30 +196,31 @@ def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch,
 def anchor_rows(docs: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, words in _texts(batches):
-            ids, hs, ps = [], [], []
-            for i, a, b in zip(batch.column(0).to_pylist(), words.of[:-1].tolist(), words.of[1:].tolist(), strict=True):
+            ids, own, hs, ps = [], [], [], []
+            for i, h, a, b in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), words.of[:-1].tolist(), words.of[1:].tolist(), strict=True):
                 if b - a >= WINDOW:
                     runs, _, chosen = anchors(words.hashes[a:b])
                     at = np.flatnonzero(chosen)
                     ids.append(np.full(len(at), i))
+                    own.append(np.full(len(at), h))
                     hs.append(runs[at])
                     ps.append(at)
             if ids:
-                yield pa.record_batch([pa.array(np.concatenate(ids), pa.int64()), pa.array(np.concatenate(hs).view(np.int64)), pa.array(np.concatenate(ps), pa.int32())], ["doc_id", "anchor", "at"])
+                yield pa.record_batch([pa.array(np.concatenate(ids), pa.int64()), pa.array(np.concatenate(own), pa.int64()), pa.array(np.concatenate(hs).view(np.int64)), pa.array(np.concatenate(ps), pa.int32())], ["doc_id", "h", "anchor", "at"])
 
-    return docs.mapInArrow(run, "doc_id long, anchor long, at int")
+    return docs.mapInArrow(run, "doc_id long, h long, anchor long, at int")
 
 
-PIECES = "doc_id long, first int, windows int, anchor long, hash binary, words binary"
+PIECES = "doc_id long, h long, first int, windows int, anchor long, hash binary, words binary"
 
 
 def piece_rows(docs: DataFrame) -> DataFrame:
-    """Pieces of ``docs (doc_id, text, shared)``; shared: places of anchors that other documents have."""
+    """Pieces of ``docs (doc_id, h, text, shared)``; shared: places of anchors that other documents have."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, words in _texts(batches):
             out = []
-            for i, shared, a, b in zip(batch.column(0).to_pylist(), batch.column(2), words.of[:-1].tolist(), words.of[1:].tolist(), strict=True):
+            for i, h, shared, a, b in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(3), words.of[:-1].tolist(), words.of[1:].tolist(), strict=True):
                 if b - a < WINDOW:
                     continue
                 own = words.hashes[a:b]
@@ -232,9 +233,9 @@ def piece_rows(docs: DataFrame) -> DataFrame:
                 for piece in np.split(at, cut):
                     s, n = int(piece[0]), len(piece)
                     data = own[s : s + n + WINDOW - 1].tobytes()
-                    out.append((i, s, n, int(least[s].astype(np.int64)), xxhash.xxh3_128_digest(data), data))
+                    out.append((i, h, s, n, int(least[s].astype(np.int64)), xxhash.xxh3_128_digest(data), data))
             if out:
-                kinds = (pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.binary(), pa.binary())
+                kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.binary(), pa.binary())
                 yield pa.record_batch([pa.array(c, t) for c, t in zip(zip(*out, strict=True), kinds, strict=True)], [x.split()[0] for x in PIECES.split(", ")])
 
     return docs.mapInArrow(run, PIECES)
@@ -243,27 +244,28 @@ def piece_rows(docs: DataFrame) -> DataFrame:
 def _search(table: pa.Table) -> pa.Table:
     """One shard: an index over its pieces, then all of them against it."""
     texts = [np.frombuffer(x, np.uint64) for x in table["words"].to_pylist()]
-    owners = np.unique(table["owner"].to_numpy(), return_inverse=True)[1]
+    owners = np.unique(np.stack([table["owner"].to_numpy(), table["owner_h"].to_numpy()], 1), axis=0, return_inverse=True)[1].reshape(-1)
     found = Index(texts, owners).repeated(texts, owners) if texts else []
-    return pa.table({"hash": table["hash"], "owner": table["owner"], "found": pa.array([np.packbits(f, bitorder="little").tobytes() for f in found], pa.binary())})
+    return pa.table({"hash": table["hash"], "owner": table["owner"], "owner_h": table["owner_h"], "found": pa.array([np.packbits(f, bitorder="little").tobytes() for f in found], pa.binary())})
 
 
 def repeated_passages(docs: DataFrame, doc: str = "doc_id", text: str = "text", with_text: bool = False) -> DataFrame:
     """One row per document: doc_id, n_words, n_removed, kept_sha256 (and the kept text)."""
     spark = docs.sparkSession
     text_batches(spark)
-    docs = docs.select(F.coalesce(F.col(doc).cast("long"), F.lit((1 << 63) - 1)).alias("doc_id"), F.col(text).alias("text"))
+    docs = docs.select(F.coalesce(F.col(doc).cast("long"), F.lit((1 << 63) - 1)).alias("doc_id"), F.xxhash64(F.col(text)).alias("h"), F.col(text).alias("text"))  # id and text are the document
+    one = F.struct("doc_id", "h")
     rows = stored(anchor_rows(docs), "anchors")
-    shared = stored(rows.groupBy("anchor").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b")).where("a < b").select("anchor"), "shared")  # a table, so that AQE can split an anchor that many documents have
-    places = rows.join(shared, "anchor").groupBy("doc_id").agg(F.array_distinct(F.collect_list("at")).alias("shared"))
-    pieces = stored(piece_rows(docs.join(places, "doc_id").select("doc_id", "text", "shared")), "pieces")
+    shared = stored(rows.groupBy("anchor").agg(F.min(one).alias("a"), F.max(one).alias("b")).where("a < b").select("anchor"), "shared")  # a table, so that AQE can split an anchor that many documents have
+    places = rows.join(shared, "anchor").groupBy("doc_id", "h").agg(F.array_distinct(F.collect_list("at")).alias("shared"))
+    pieces = stored(piece_rows(docs.join(places, ["doc_id", "h"]).select("doc_id", "h", "text", "shared")), "pieces")
     # hash decides the content; equal pieces go to the index once
-    once = stored(pieces.groupBy("hash").agg(F.min("doc_id").alias("owner"), F.first("anchor").alias("anchor"), F.first("words").alias("words"), F.max("doc_id").alias("other")), "once")
+    once = stored(pieces.groupBy("hash").agg(F.min(one).alias("o"), F.first("anchor").alias("anchor"), F.first("words").alias("words")).select("hash", F.col("o.doc_id").alias("owner"), F.col("o.h").alias("owner_h"), "anchor", "words"), "once")
     total = once.agg(F.coalesce(F.sum(F.octet_length("words")), F.lit(0))).first()[0] // 8
     shards = max(1, -(-total // SHARD_WORDS))
-    found = once.select("hash", "owner", "words", F.pmod(F.xxhash64("anchor"), F.lit(shards)).alias("shard")).groupBy("shard").applyInArrow(_search, "hash binary, owner long, found binary")
-    spans = pieces.select("hash", "doc_id", "first", "windows").join(found, "hash").select("doc_id", F.struct("first", "windows", F.when(F.col("doc_id") == F.col("owner"), F.col("found")).alias("found")).alias("span"))
-    spans = spans.groupBy("doc_id").agg(F.collect_list("span").alias("spans"))
+    found = once.select("hash", "owner", "owner_h", "words", F.pmod(F.xxhash64("anchor"), F.lit(shards)).alias("shard")).groupBy("shard").applyInArrow(_search, "hash binary, owner long, owner_h long, found binary")
+    spans = pieces.select("hash", "doc_id", "h", "first", "windows").join(found, "hash").select("doc_id", "h", F.struct("first", "windows", F.when((F.col("doc_id") == F.col("owner")) & (F.col("h") == F.col("owner_h")), F.col("found")).alias("found")).alias("span"))
+    spans = spans.groupBy("doc_id", "h").agg(F.collect_list("span").alias("spans"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in steps(batches):
@@ -288,5 +290,5 @@ def repeated_passages(docs: DataFrame, doc: str = "doc_id", text: str = "text",
             kinds = [pa.int64(), pa.int64(), pa.int64(), pa.string(), *[pa.string()] * with_text]
             yield pa.record_batch([pa.array(c, t) for c, t in zip(zip(*out, strict=True), kinds, strict=True)], ["doc_id", "n_words", "n_removed", "kept_sha256", *["kept"] * with_text])
 
-    done = docs.join(spans, "doc_id", "left").select("doc_id", "text", "spans").mapInArrow(run, "doc_id long, n_words long, n_removed long, kept_sha256 string" + ", kept string" * with_text)
+    done = docs.join(spans, ["doc_id", "h"], "left").select("doc_id", "text", "spans").mapInArrow(run, "doc_id long, n_words long, n_removed long, kept_sha256 string" + ", kept string" * with_text)
     return done.withColumn("doc_id", F.nullif("doc_id", F.lit((1 << 63) - 1)))

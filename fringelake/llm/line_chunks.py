@@ -5,8 +5,8 @@ with the content and not with its place. Chunks of two lines or more that occur
 removed, but for the first occurrence (least document id, then place). Occurrences are found by hash, and every chunk
 whose hash repeats is then grouped by its own bytes: a hash that stands for different texts removes nothing.
 
-Defined cases: null stays null and has no lines; one-line chunks and empty texts stay; rows with the same id keep and
-lose the same chunks; a null id comes last; an empty table gives no rows; all other columns are passed on.
+Defined cases: null stays null and has no lines; one-line chunks and empty texts stay; rows with the same id and text
+keep and lose the same chunks; texts that share an id, or have none, are documents of their own; a null id comes last; an empty table gives no rows; all other columns are passed on.
 """
 
 from __future__ import annotations
@@ -43,23 +43,23 @@ def chunks(text: str) -> list[list[str]]:
 
 
 def chunk_rows(docs: DataFrame, with_text: bool) -> DataFrame:
-    """(hash, k, place[, chunk]) of every chunk of two lines or more."""
+    """(hash, k, h, place[, chunk]) of every chunk of two lines or more."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in steps(batches):
             out = []
-            for k, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            for k, h, text in zip(*(batch.column(c).to_pylist() for c in range(3)), strict=True):
                 if text and "\n" in text:
                     for place, lines in enumerate(chunks(text)):
                         if len(lines) >= LEAST:
                             chunk = "\n".join(lines)
-                            out.append((xxhash.xxh3_64_intdigest(chunk.encode()) - (1 << 63), k, place, chunk))
+                            out.append((xxhash.xxh3_64_intdigest(chunk.encode()) - (1 << 63), k, h, place, chunk))
             if out:
                 columns = list(zip(*out, strict=True))
-                kinds, names = [pa.int64(), pa.int64(), pa.int32(), pa.string()], ["hash", "k", "place", "chunk"]
-                yield pa.record_batch([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)][: 3 + with_text], names[: 3 + with_text])
+                kinds, names = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.string()], ["hash", "k", "h", "place", "chunk"]
+                yield pa.record_batch([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)][: 4 + with_text], names[: 4 + with_text])
 
-    return docs.mapInArrow(run, "hash long, k long, place int" + ", chunk string" * with_text)
+    return docs.mapInArrow(run, "hash long, k long, h long, place int" + ", chunk string" * with_text)
 
 
 @F.pandas_udf(T.StructType().add("kept", T.StringType()).add("n_lines", T.LongType()).add("n_chunks", T.LongType()).add("n_removed", T.LongType()))
@@ -81,12 +81,13 @@ def line_dedup(docs: DataFrame, doc: str = "doc_id", text: str = "text", result:
     """``docs`` with a struct column ``result``: kept, n_lines, n_chunks, n_removed (lines)."""
     text_batches(docs.sparkSession)
     key = F.coalesce(F.col(doc).cast("long"), F.lit(_LAST))
-    slim = docs.select(key.alias("k"), F.col(text).alias("text"))
+    own = F.xxhash64(F.col(text))
+    slim = docs.select(key.alias("k"), own.alias("h"), F.col(text).alias("text"))
     rows = stored(chunk_rows(slim, False), "chunks")
     often = rows.groupBy("hash").agg(F.count("*").alias("n")).where("n > 1").select("hash")
     texts = chunk_rows(slim, True).join(small_side(often), "hash", "left_semi")
-    same = texts.groupBy("hash", "chunk").agg(F.min(F.struct("k", "place")).alias("first"), F.count("*").alias("n"))  # bytes decide
+    same = texts.groupBy("hash", "chunk").agg(F.min(F.struct("k", "h", "place")).alias("first"), F.count("*").alias("n"))  # bytes decide
     repeated = same.groupBy("hash").agg(F.count("*").alias("texts"), F.min("first").alias("first"), F.max("n").alias("n")).where("texts = 1 and n > 1").select("hash", "first")
-    gone = rows.join(repeated, "hash").where("not (k = first.k and place = first.place)").groupBy("k").agg(F.collect_set("place").alias("gone"))
-    joined = docs.withColumn("_k", key).join(gone.withColumnRenamed("k", "_k").withColumnRenamed("gone", "_gone"), "_k", "left")
-    return joined.withColumn(result, without(F.col(text), F.col("_gone"))).drop("_k", "_gone")
+    gone = rows.join(repeated, "hash").where("not (k = first.k and h = first.h and place = first.place)").groupBy("k", "h").agg(F.collect_set("place").alias("gone"))
+    joined = docs.withColumn("_k", key).withColumn("_h", own).join(gone.withColumnsRenamed({"k": "_k", "h": "_h", "gone": "_gone"}), ["_k", "_h"], "left")
+    return joined.withColumn(result, without(F.col(text), F.col("_gone"))).drop("_k", "_h", "_gone")

@@ -312,3 +312,16 @@ def test_pipeline_links_at_four_fifths(spark):
     texts = [words, ["c" if i in (50, 100, 150, 200, 250, 300) else w for i, w in enumerate(words)], ["c" if i % 40 == 20 else w for i, w in enumerate(words)]]  # 0.824 and 0.770 alike to the first
     d = spark.createDataFrame([(i, " ".join(t), "en", "s", 1) for i, t in enumerate(texts)], "doc_id long, text string, lang string, source string, n_chars long")
     assert {r.doc_id for r in P.near_dedup(spark, d, SF).collect()} == {0, 2}
+
+
+def test_texts_that_share_an_id_or_have_none(spark):
+    """Places of one text are not those of another."""
+    shared, block = [f"s{i}" for i in range(60)], "\n".join(f"shared line {i}" for i in range(12))
+    far = " ".join([f"l{i}" for i in range(400)] + shared)
+    texts = [(1, " ".join(shared)), (None, far), (None, "few words"), (None, " ".join([f"m{i}" for i in range(70)])), (7, far + " end"), (7, " ".join(f"n{i}" for i in range(55)))]
+    got = {r.kept for r in fm_index.repeated_passages(spark.createDataFrame(texts, "doc_id long, text string"), with_text=True).collect()}
+    assert {texts[i][1] for i in (0, 2, 3, 5)} <= got and len(got) == 6
+    assert sum("s0 " in f"{t} " for t in got) == 1
+    rows = [(1, block), (None, block), (None, "\n".join(f"unique {i}" for i in range(12))), (7, block), (7, "\n".join(f"own {i}" for i in range(12)))]
+    cut = {r.text: r for r in line_chunks.line_dedup(spark.createDataFrame(rows, "doc_id long, text string")).select("text", "_cut.*").where("text not like 'shared%'").collect()}
+    assert len(cut) == 2 and all(r.kept == t and r.n_removed == 0 for t, r in cut.items())
