@@ -30,17 +30,26 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return out.withColumn("n_chars", F.length("text").cast("long")).select(COLUMNS)
 
 
+def numbered(docs: DataFrame) -> DataFrame:
+    """``docs`` with ``_row``: the id where all rows have one of their own; else a number in the order of id and text, null ids last."""
+    if docs.where("doc_id is null").isEmpty() and docs.groupBy("doc_id").count().where("count > 1").isEmpty():
+        return docs.withColumn("_row", F.col("doc_id").cast("long"))
+    return stored(docs.sort(F.col("doc_id").asc_nulls_last(), "text").withColumn("_row", F.monotonically_increasing_id()), "numbered")
+
+
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group stays; documents of a similarity of 0.8 or more are linked."""
-    gone = stored(oph_minhash.near_duplicates(docs, share=SHARE).where("not kept").select("doc_id").distinct(), "gone")
-    return docs.join(gone, "doc_id", "left_anti").select(COLUMNS)
+    """One row of each group stays, whether ids are null, repeated or neither; documents of a similarity of 0.8 or more are linked."""
+    docs = numbered(docs)
+    gone = stored(oph_minhash.near_duplicates(docs, doc="_row", share=SHARE).where("not kept").select(F.col("doc_id").alias("_row")).distinct(), "gone")
+    return docs.join(gone, "_row", "left_anti").select(COLUMNS)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Contaminated documents go."""
-    found = decontaminate_winnow.decontaminate(docs, read(spark, sf_dir, "benchmark"))
-    gone = stored(found.where("contaminated").select("doc_id").distinct(), "gone")
-    return docs.join(gone, "doc_id", "left_anti").select(COLUMNS)
+    """Contaminated rows go, whether ids are null, repeated or neither."""
+    docs = numbered(docs)
+    found = decontaminate_winnow.decontaminate(docs, read(spark, sf_dir, "benchmark"), doc="_row")
+    gone = stored(found.where("contaminated").select(F.col("doc_id").alias("_row")).distinct(), "gone")
+    return docs.join(gone, "_row", "left_anti").select(COLUMNS)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -325,3 +325,17 @@ def test_texts_that_share_an_id_or_have_none(spark):
     rows = [(1, block), (None, block), (None, "\n".join(f"unique {i}" for i in range(12))), (7, block), (7, "\n".join(f"own {i}" for i in range(12)))]
     cut = {r.text: r for r in line_chunks.line_dedup(spark.createDataFrame(rows, "doc_id long, text string")).select("text", "_cut.*").where("text not like 'shared%'").collect()}
     assert len(cut) == 2 and all(r.kept == t and r.n_removed == 0 for t, r in cut.items())
+
+
+def test_pipeline_removes_rows_with_null_and_repeated_ids(spark):
+    import corpus_pipeline as P
+
+    item = max((r.text for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()), key=len)
+    copy, clean = " ".join(f"w{i}" for i in range(60)), [" ".join(f"{c}{i}" for i in range(60)) for c in "xyz"]
+    rows = [(3, copy), (3, copy), (None, copy), (None, copy), (None, clean[0]), (None, item), (4, item), (4, clean[1]), (None, clean[2])]
+    d = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    near, rest = P.near_dedup(spark, d, SF), P.decontamination(spark, d, SF)
+    key = lambda rows: Counter((r.doc_id, r.text) for r in rows)
+    assert near.columns == rest.columns == P.COLUMNS
+    assert key(near.collect()) == Counter([(3, copy), (None, clean[0]), (4, item), (4, clean[1]), (None, clean[2])])
+    assert key(rest.collect()) == Counter(r for r in rows if r[1] != item)
