@@ -8,13 +8,15 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-#: Rows of a side that may be broadcast after they have been counted.
-BROADCAST_ROWS = 500_000
+#: Rows and bytes of a side that may be broadcast after both have been counted.
+BROADCAST_ROWS, BROADCAST_BYTES = 500_000, 64 << 20
 #: Bytes of text that one vectorised step handles; a longer text makes a step of its own.
 STEP_BYTES = 2 << 20
+_CLEAN = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 _local: list[str] = []
@@ -33,16 +35,49 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` as Parquet in the shared folder and read it: lineage ends there, and lost executors cost nothing."""
+    """Write ``df`` as Parquet in the shared folder and read it: lineage ends there, and lost executors cost nothing.
+
+    The shuffle files of the write go when it is done, as nothing reads them any more.
+    """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
-def small_side(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """``df`` with a broadcast hint if its counted rows are at most ``rows``; else unchanged, for a shuffled join."""
-    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+    before = spark.conf.get(_CLEAN, "false")
+    spark.conf.set(_CLEAN, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(_CLEAN, before)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.stored_path = path
+    return out
+
+
+def dropped(*tables: DataFrame) -> None:
+    """Delete tables made by ``stored`` that no later plan reads."""
+    for t in tables:
+        at = t.sparkSession.sparkContext._jvm.org.apache.hadoop.fs.Path(t.stored_path)
+        at.getFileSystem(t.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+
+
+def _width(name: str, kind: T.DataType) -> Column:
+    if isinstance(kind, (T.StringType, T.BinaryType)):
+        return F.coalesce(F.octet_length(name), F.lit(0)) + 16
+    if isinstance(kind, T.ArrayType):
+        if isinstance(kind.elementType, T.StringType):
+            return F.coalesce(F.aggregate(name, F.lit(16), lambda n, x: n + F.coalesce(F.octet_length(x), F.lit(0)) + 16), F.lit(16))
+        return 16 + 32 * F.greatest(F.size(name), F.lit(0))
+    if isinstance(kind, T.MapType):
+        return 16 + 32 * F.greatest(F.size(name), F.lit(0))
+    return F.lit(64 if isinstance(kind, T.StructType) else 8)
+
+
+def small_side(df: DataFrame, rows: int = BROADCAST_ROWS, size: int = BROADCAST_BYTES) -> DataFrame:
+    """``df`` with a broadcast hint if its counted rows and bytes are within the bounds; else unchanged, for a shuffled join."""
+    width = F.lit(0).cast("long")
+    for f in df.schema.fields:
+        width = width + _width(f.name, f.dataType)
+    n, total = df.limit(rows + 1).agg(F.count("*"), F.coalesce(F.sum(width), F.lit(0))).first()
+    return F.broadcast(df) if n <= rows and total <= size else df
 
 
 def text_batches(spark: SparkSession) -> None:
@@ -89,9 +124,9 @@ _WHITE[[0x20, *range(0x09, 0x0E)]] = True
 _MARK = np.array([i < 128 and not chr(i).isalnum() for i in range(256)])
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[0x41:0x5B] += 32
-_BYTE = np.random.default_rng(7).integers(1, 2**63, 256, dtype=np.uint64) | np.uint64(1)
-_P, _Q = 0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93
-_MASK = (1 << 64) - 1
+_PLACES = 64  # places in a word that have values of their own for each byte; later places mix them with their block's number
+_BYTE = np.random.default_rng(7).integers(0, 2**63, _PLACES * 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_ODD, _Q = np.uint64(0x9E3779B97F4A7C15), 0xD6E8FEB86659FD93
 _powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
 
@@ -139,17 +174,22 @@ class Words:
         self.ends = np.flatnonzero(~white & after) + 1
         self.of = np.searchsorted(self.starts, bounds)
         if hashes:
-            up = powers(_P, n + 1)[0]
+            size = self.ends - self.starts
+            self.offset = np.cumsum(size) - size
+            place = np.arange(int(size.sum())) - np.repeat(self.offset, size)
             with np.errstate(over="ignore"):
-                self.sums = np.zeros(n + 1, np.uint64)
-                np.cumsum(_BYTE[data] * up[:n], out=self.sums[1:])
-            self.hashes = self.hashed(self.starts, self.ends)
-
-    def hashed(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-        """A hash of the bytes from each start to its end."""
-        down = powers(_P, len(self.data) + 1)[1]
+                value = _BYTE[(place & (_PLACES - 1)) << 8 | data[~white]]
+                far = np.flatnonzero(place >= _PLACES)
+                value[far] = mixed(value[far] + (place[far] // _PLACES).astype(np.uint64) * _ODD)
+                self.sums = np.zeros(len(place) + 1, np.uint64)
+                np.cumsum(value, out=self.sums[1:])
+            self.hashes = self.hashed(np.arange(len(size)), size)
+
+    def hashed(self, which: np.ndarray, size: np.ndarray) -> np.ndarray:
+        """A hash of the first ``size`` bytes of some words: a sum of random values, one for each place and byte."""
+        at = self.offset[which]
         with np.errstate(over="ignore"):
-            return mixed((self.sums[ends] - self.sums[starts]) * down[starts] + (ends - starts).astype(np.uint64))
+            return mixed(self.sums[at + size] - self.sums[at] + size.astype(np.uint64) * _ODD)
 
     def inner(self) -> np.ndarray:
         """The words' bytes without what lies between them."""
@@ -174,7 +214,7 @@ def grams(hashes: np.ndarray, k: int) -> np.ndarray:
 # --- connected components ---------------------------------------------------------------------------------------
 
 
-def components(edges: DataFrame, rounds: int = 40) -> DataFrame:
+def components(edges: DataFrame) -> DataFrame:
     """``(node, component)`` for the nodes of ``edges (a, b)``; component is the smallest node that can be reached.
 
     Alternates large-star and small-star steps, each an aggregation with map-side combine and a join;
@@ -182,17 +222,16 @@ def components(edges: DataFrame, rounds: int = 40) -> DataFrame:
     """
     e = stored(edges.where("a is not null and b is not null and a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges")
     seen = None
-    for _ in range(rounds):
+    while True:  # each round joins neighbouring stars: their number falls by a factor, and the last round changes nothing
         both = e.union(e.select("b", "a"))
         low = both.groupBy(F.col("a").alias("u")).agg(F.least(F.min("b"), F.first("a")).alias("m"))
         large = both.join(low, F.col("a") == F.col("u")).where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct()
         low = large.groupBy(F.col("a").alias("u")).agg(F.min("b").alias("m"))
         joined = large.join(low, F.col("a") == F.col("u"))
-        e = stored(joined.select("a", F.col("m").alias("b")).union(joined.where("b <> m").select("b", "m")).distinct(), "edges")
+        before, e = e, stored(joined.select("a", F.col("m").alias("b")).union(joined.where("b <> m").select("b", "m")).distinct(), "edges")
+        dropped(before)
         now = e.agg(F.count("*"), F.bit_xor(F.xxhash64("a", "b"))).first()
         if now == seen:
             break
         seen = now
-    else:
-        raise RuntimeError("components did not settle")
     return e.select(F.col("a").alias("node"), F.col("b").alias("component")).union(e.select("b", "b").distinct())

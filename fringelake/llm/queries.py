@@ -53,7 +53,7 @@ def op8_fm_index_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_oph_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return oph_minhash.near_duplicates(read(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id", "kept", "n_links")
+    return oph_minhash.near_duplicates(read(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id", "kept")
 
 
 def op10_min_slack_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -33,7 +33,7 @@ def terms(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     words = Words(*utf8(column), lower=True, plain=True)
     row = np.repeat(np.arange(len(column)), np.diff(words.of))
     long_ = words.ends - words.starts > BEGIN
-    begins = words.hashed(words.starts[long_], words.starts[long_] + BEGIN)
+    begins = words.hashed(np.flatnonzero(long_), np.full(int(long_.sum()), BEGIN))
     shift = np.uint64(64 - BITS)
     both = np.concatenate([row << BITS | (words.hashes >> shift).astype(np.int64), row[long_] << BITS | ((begins ^ np.uint64(0x5BD1E995)) >> shift).astype(np.int64)])
     both = np.unique(both)
