@@ -24,11 +24,11 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Words, grams, steps, stored, text_batches, utf8
+from .common import Words, dropped, grams, steps, stored, text_batches, utf8
 
 WINDOW, RUN = 50, 10
 SPAN = WINDOW - RUN + 1  # runs in a window
-SHARD_WORDS = 1_000_000
+SHARD_WORDS = 500_000
 
 
 # --- the index ---------------------------------------------------------------------------------------------------
@@ -82,15 +82,19 @@ class RangeLeast:
     """Least value of any range, by a sparse table."""
 
     def __init__(self, values: np.ndarray) -> None:
-        self.rows = [values.astype(np.int32)]
-        while 2 << (len(self.rows) - 1) <= len(values):
-            half = 1 << (len(self.rows) - 1)
-            self.rows.append(np.minimum(self.rows[-1][:-half], self.rows[-1][half:]))
+        n = len(values)
+        counts = [n - (1 << k) + 1 for k in range(max(1, n.bit_length()))]
+        self.starts = np.concatenate([[0], np.cumsum(counts)])
+        self.flat = np.empty(self.starts[-1], np.int32)
+        row = self.flat[:n]
+        row[:] = values
+        for k in range(1, len(counts)):
+            half, above = 1 << (k - 1), self.flat[self.starts[k] : self.starts[k + 1]]
+            np.minimum(row[:-half], row[half:], out=above)
+            row = above
         size = np.arange(len(values) + 1)
         self.log = np.zeros(len(values) + 1, np.int64)
         self.log[1:] = np.floor(np.log2(np.maximum(size[1:], 1))).astype(np.int64)
-        self.starts = np.concatenate([[0], np.cumsum([len(r) for r in self.rows])])
-        self.flat = np.concatenate(self.rows)
 
     def __call__(self, low: np.ndarray, high: np.ndarray) -> np.ndarray:
         k = self.log[high - low]
@@ -257,14 +261,20 @@ def repeated_passages(docs: DataFrame, doc: str = "doc_id", text: str = "text",
     one = F.struct("doc_id", "h")
     rows = stored(anchor_rows(docs), "anchors")
     shared = stored(rows.groupBy("anchor").agg(F.min(one).alias("a"), F.max(one).alias("b")).where("a < b").select("anchor"), "shared")  # a table, so that AQE can split an anchor that many documents have
-    places = rows.join(shared, "anchor").groupBy("doc_id", "h").agg(F.array_distinct(F.collect_list("at")).alias("shared"))
+    places = stored(rows.join(shared, "anchor").groupBy("doc_id", "h").agg(F.array_distinct(F.collect_list("at")).alias("shared")), "places")
+    dropped(rows, shared)
     pieces = stored(piece_rows(docs.join(places, ["doc_id", "h"]).select("doc_id", "h", "text", "shared")), "pieces")
+    dropped(places)
     # hash decides the content; equal pieces go to the index once
     once = stored(pieces.groupBy("hash").agg(F.min(one).alias("o"), F.first("anchor").alias("anchor"), F.first("words").alias("words")).select("hash", F.col("o.doc_id").alias("owner"), F.col("o.h").alias("owner_h"), "anchor", "words"), "once")
+    slim = stored(pieces.select("hash", "doc_id", "h", "first", "windows"), "slim")  # the words are in `once`
+    dropped(pieces)
     total = once.agg(F.coalesce(F.sum(F.octet_length("words")), F.lit(0))).first()[0] // 8
     shards = max(1, -(-total // SHARD_WORDS))
     found = once.select("hash", "owner", "owner_h", "words", F.pmod(F.xxhash64("anchor"), F.lit(shards)).alias("shard")).groupBy("shard").applyInArrow(_search, "hash binary, owner long, owner_h long, found binary")
-    spans = pieces.select("hash", "doc_id", "h", "first", "windows").join(found, "hash").select("doc_id", "h", F.struct("first", "windows", F.when((F.col("doc_id") == F.col("owner")) & (F.col("h") == F.col("owner_h")), F.col("found")).alias("found")).alias("span"))
+    found = stored(found, "found")
+    dropped(once)
+    spans = slim.join(found, "hash").select("doc_id", "h", F.struct("first", "windows", F.when((F.col("doc_id") == F.col("owner")) & (F.col("h") == F.col("owner_h")), F.col("found")).alias("found")).alias("span"))
     spans = spans.groupBy("doc_id", "h").agg(F.collect_list("span").alias("spans"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
