@@ -1,23 +1,29 @@
 """Benchmark decontamination by winnowing [native].
 
-Words are hashed in runs of ``RUN``; each window of ``SPAN`` consecutive runs keeps its least hash. As these make a
-benchmark window of ``WINDOW`` words, every shared window leaves a common fingerprint on both sides. Fingerprints are
-joined, and each hit is extended to its whole window and compared as text with the benchmark's windows.
+Words are hashed in runs of ``RUN``; of each window of ``WINDOW`` words (``SPAN`` runs) the least hash is kept, the first
+of equal ones. Neighbouring windows mostly keep the same run, so the places kept are few: the fingerprints. As the choice
+depends on a window's words alone, every shared window leaves a common fingerprint on both sides. Fingerprints are joined
+by hash, and each hit is extended word by word to either side as far as the windows that keep it can reach; extents of
+``WINDOW`` words or more are hits, so text decides, not the hash.
 
-Fingerprints are joined without the texts: a row is a document's key, a place and a hash. The benchmark's side is
-broadcast while its counted rows stay within a bound, and shuffled beyond. Only documents with hits are read again.
+Documents are read once. In that scan a fixed bitmap of the benchmark's hashes (``BITS`` bits, a constant size) leaves
+documents without any such run with their word count alone; the others are winnowed, and each fingerprint that the bitmap
+lets through goes on with the few words around it. So no word arrays are shuffled, and a benchmark of any size only
+makes the bitmap let more through. The benchmark's fingerprints are broadcast within counted bounds, and shuffled beyond.
 
-Items shorter than a window are compared as whole sequences of their own length.
+Items shorter than a window have one fingerprint, the hash of all their words, and are found at every place that has it.
 
 Defined cases: null, empty and wordless texts have no words, are never contaminated and give no windows; repeated rows
-get the same result each; an empty benchmark or corpus is fine; null item ids are left out of the lists; other columns
-of the inputs are not read.
+get the same result each; an empty benchmark or corpus is fine; null item ids are left out of the lists; very long texts
+are one row like others; other columns of the inputs are not read, whatever their names.
 """
 
 from __future__ import annotations
 
 import string
 
+import numpy as np
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -25,6 +31,8 @@ from .common import BROADCAST_ROWS, small_side, stored
 
 WINDOW, RUN = 13, 8
 SPAN = WINDOW - RUN + 1
+SIDE = WINDOW - RUN  # words on either side of a run that its windows reach
+BITS = 1 << 21
 
 
 def words(text: Column) -> Column:
@@ -34,66 +42,133 @@ def words(text: Column) -> Column:
     return F.array_remove(F.split(low, r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"), "")
 
 
-def with_prints(df: DataFrame) -> DataFrame:
-    """Turns ``words`` into n_words and ``prints``: of each window, by place, the least hash of its SPAN runs of RUN words.
+def run_hashes(df: DataFrame, length: int, name: str) -> DataFrame:
+    """Adds ``name``: of the word hashes ``h``, a hash of each ``length`` neighbours, by doubling; the last ``length - 1`` have no meaning."""
+    def joined(a: Column, by: int):
+        return lambda x, i: F.xxhash64(x, F.get(a, i + by))
+
+    made, last, have = [], "h", 1
+    while have < length:
+        by = min(have, length - have)
+        have += by
+        new = name if have == length else f"{name}_{have}"
+        df = df.withColumn(new, F.transform(last, joined(F.col(last), by)))
+        made.append(last)
+        last = new
+    df = df.drop(*made[1:])
+    return df.withColumn(name, F.transform("h", lambda x: F.xxhash64(x))) if length == 1 else df
+
+
+def winnowed(g: Column, n: Column) -> Column:
+    """Places of the runs that some window of ``n`` words keeps."""
+
+    def kept(s: Column) -> Column:
+        return F.array_min(F.array(*[F.struct(F.get(g, s + i).alias("g"), (s + i).alias("at")) for i in range(SPAN)]))["at"]
+
+    return F.array_distinct(F.transform(F.sequence(F.lit(0), n - WINDOW), kept))
+
+
+def around(w: Column, at: Column, length: int, side: int) -> Column:
+    """The words from ``side`` before a run to ``side`` behind it; null beyond the text."""
+    return F.array(*[F.when(at + i >= 0, F.get(w, at + i)) for i in range(-side, length + side)])
+
+
+PRINT = "array<struct<length:int,print:bigint,at:int,near:array<string>>>"
 
-    Neighbours are read by place inside the lambdas: slices would copy the array for each element.
+
+def prints(df: DataFrame, short: list[int], passes, whole: bool) -> DataFrame:
+    """Turns ``words`` of ``df`` into n and ``prints`` (length, print, at, near): winnowed runs, and runs of the short lengths.
+
+    ``passes(hash)`` says which to keep; ``whole``: a short run has to be the whole text, else it may be anywhere.
     """
-    n = F.col("n_words")
-    df = df.select("*", F.size("words").alias("n_words"), F.transform("words", lambda x: F.xxhash64(x)).alias("h")).drop("words")
-    runs = F.transform(F.col("h"), lambda x, i: F.when(i <= n - RUN, F.xxhash64(x, *[F.get(F.col("h"), i + j) for j in range(1, RUN)])))
-    df = df.select("*", runs.alias("g")).drop("h")
-    least = F.transform(F.col("g"), lambda x, i: F.when(i <= n - WINDOW, F.least(x, *[F.get(F.col("g"), i + j) for j in range(1, SPAN)])))
-    return df.select("*", least.alias("prints")).drop("g")
+    others = df.drop("words").columns
+    n, w = F.col("n"), F.col("words")
+    df = df.select("*", F.size("words").alias("n"), F.transform("words", lambda x: F.xxhash64(x)).alias("h"))
+    df = run_hashes(df, RUN, "g")
+
+    def one(g: Column, label: int, size: int, side: int):
+        return lambda at: F.struct(F.lit(label).alias("length"), F.get(g, at).alias("print"), at.cast("int").alias("at"), around(w, at, size, side).alias("near"))
+
+    def kept(g: Column):
+        return lambda at: passes(F.get(g, at))
+
+    g = F.col("g")
+    found = [F.when((n >= WINDOW) & F.exists("g", passes), F.transform(F.filter(winnowed(g, n), kept(g)), one(g, RUN, RUN, SIDE)))]
+    for m in short:  # labelled by their length below zero
+        df = run_hashes(df, m, f"s{m}")
+        g = F.col(f"s{m}")
+        found.append(F.when((n == m) if whole else (n >= m), F.transform(F.filter(F.sequence(F.lit(0), n - m), kept(g)), one(g, -m, m, 0))))
+    none = F.array().cast(PRINT)
+    return df.select(*others, "n", F.concat(*[F.coalesce(x, none) for x in found]).alias("prints"))
+
+
+def probes(h: Column) -> list[Column]:
+    """The bits that stand for a hash."""
+    return [F.pmod(h, F.lit(BITS)), F.pmod(F.shiftright(h, 24), F.lit(BITS))]
+
+
+def bitmap(hashes: DataFrame) -> DataFrame:
+    """One row: an array of ``BITS`` bits in longs, with those of all ``print`` set."""
+    at = hashes.select(F.explode(F.array(*probes(F.col("print")))).alias("at"))
+    set_ = at.groupBy(F.shiftright("at", 6).alias("id")).agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod("at", F.lit(64)).cast("int"))).alias("bits"))
+    every = hashes.sparkSession.range(BITS // 64).join(F.broadcast(set_), "id", "left")  # at most BITS / 64 rows
+    return every.agg(F.sort_array(F.collect_list(F.struct("id", F.coalesce("bits", F.lit(0).cast("long")).alias("bits")))).alias("b")).select("b.bits")
+
 
+def extended(near: Column, other: Column) -> tuple[Column, Column]:
+    """Equal words to the left of an equal run, and to its right; both -1 if the run differs."""
 
-def window_text(words: Column, at: Column, length: int) -> Column:
-    return F.array_join(F.slice(words, at + 1, length), " ")
+    def same(i: int) -> Column:
+        return F.coalesce(F.get(near, F.lit(i)) == F.get(other, F.lit(i)), F.lit(False))
 
+    def reach(places: list[int]) -> Column:
+        out = F.lit(len(places))
+        for k in range(len(places) - 1, -1, -1):
+            out = F.when(~same(places[k]), k).otherwise(out)
+        return out
 
-def benchmark_windows(benchmark: DataFrame, item: str = "item_id", text: str = "text") -> DataFrame:
-    """(window, length, items): the distinct windows and the items that have each."""
-    b = benchmark.select(F.col(item).alias("item"), words(F.col(text)).alias("words"))
-    b = b.select("item", "words", F.least(F.size("words"), F.lit(WINDOW)).alias("length"))
-    b = b.select("item", "words", "length", F.explode_outer(F.when(F.col("length") > 0, F.sequence(F.lit(0), F.size("words") - F.col("length")))).alias("at")).where("at is not null")
-    b = b.select("item", "length", F.array_join(F.slice("words", F.col("at") + 1, F.col("length")), " ").alias("window"))
-    return b.groupBy("window", "length").agg(F.collect_set("item").alias("items"))
+    run = same(SIDE)
+    for i in range(SIDE + 1, SIDE + RUN):
+        run = run & same(i)
+    return F.when(run, reach(list(range(SIDE - 1, -1, -1)))).otherwise(-1), F.when(run, reach(list(range(SIDE + RUN, 2 * SIDE + RUN)))).otherwise(-1)
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, doc: str = "doc_id", text: str = "text", item: str = "item_id", bench_text: str = "text", least_share: int = 20, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
     """One row per document: its id, n_words, n_hit, n_items, items_sha256, contaminated (20 * n_hit >= n_words > 0)."""
-    windows = benchmark_windows(benchmark, item, bench_text)
-    full = windows.where(F.col("length") == WINDOW)
-    prints = with_prints(benchmark.select(words(F.col(bench_text)).alias("words"))).select(F.explode_outer("prints").alias("print")).where("print is not null").distinct()
-    base = docs.select(F.col(doc).alias("doc_id"), F.coalesce(F.col(doc).cast("string"), F.lit("")).alias("k1"), F.xxhash64(F.col(text)).alias("k2"), F.col(text).alias("text"))
-    base = base.withColumn("words", words(F.col("text"))).drop("text")
-    n = F.size("words")
-    # place -1 stands for the document itself; outer, as the filter of an inner one would repeat the expressions below
-    placed = with_prints(base).select("doc_id", "k1", "k2", "n_words", F.posexplode_outer(F.concat(F.array(F.lit(None).cast("long")), "prints")).alias("at", "print"))
-    hit = placed.join(small_side(prints.withColumn("hit", F.lit(True)), broadcast_rows), "print", "left").where("hit or at = 0")
-    hit = hit.select("doc_id", "k1", "k2", F.col("n_words").cast("long").alias("n_words"), (F.col("at") - 1).alias("at"))
-    hit = hit.groupBy("k1", "k2").agg(F.max("doc_id").alias("doc_id"), F.max("n_words").alias("n_words"), F.count_if(F.col("at") < 0).alias("copies"), F.collect_set(F.when(F.col("at") >= 0, F.col("at"))).alias("ats"))
-    hit = stored(hit, "hits")  # one row per document, read twice below
-    near = base.join(hit.where(F.size("ats") > 0).select("k1", "k2", "ats"), ["k1", "k2"]).select("k1", "k2", "words", F.explode("ats").alias("at"))
-    near = near.select("k1", "k2", "at", window_text(F.col("words"), F.col("at"), WINDOW).alias("window")).join(small_side(full.select("window", "length", "items"), broadcast_rows), "window")
-    own = ["k1", "k2", "doc_id", "n_words", "copies"]
-    rows = near.select("k1", "k2", *[F.lit(None).cast("long").alias(c) for c in own[2:]], F.col("at").cast("long").alias("at"), "length", "items")
-    rows = rows.unionByName(hit.select(*own, F.lit(None).cast("long").alias("at"), F.lit(WINDOW).alias("length"), F.lit(None).cast(windows.schema["items"].dataType).alias("items")))
-    for (m,) in windows.where(F.col("length") < WINDOW).select("length").distinct().collect():  # at most WINDOW - 1 lengths
-        short = base.select("k1", "k2", "words", F.explode_outer(F.when(n >= m, F.sequence(F.lit(0), n - m))).alias("at")).where("at is not null")
-        short = short.select("k1", "k2", F.col("at").cast("long").alias("at"), window_text(F.col("words"), F.col("at"), m).alias("window"))
-        short = short.join(small_side(windows.where(F.col("length") == m).select("window", "length", "items"), broadcast_rows), "window").drop("window")
-        rows = rows.unionByName(short, allowMissingColumns=True)
-    span = F.when(F.col("items").isNotNull(), F.struct(F.col("at").alias("s"), F.col("length").cast("long").alias("length")))
-    per = rows.groupBy("k1", "k2").agg(
-        F.max("doc_id").alias("doc_id"), F.max("n_words").alias("n_words"), F.max("copies").alias("copies"),
-        F.array_sort(F.collect_set(span)).alias("spans"), F.array_distinct(F.flatten(F.collect_set("items"))).alias("items"),
-    )
+    tests = benchmark.select(F.col(item).alias("item"), words(F.col(bench_text)).alias("words"))
+    short = sorted(r[0] for r in tests.select(F.size("words").alias("n")).where(f"n > 0 and n < {WINDOW}").distinct().collect())  # at most WINDOW - 1 lengths
+    tests = prints(tests, short, lambda h: h.isNotNull(), True).select("item", F.explode_outer("prints").alias("p")).where("p is not null").select("item", "p.length", "p.print", "p.near")  # outer: the filter of an inner one would repeat the expressions below
+    tests = stored(tests.distinct(), "tests")
+    # a constant in the plan: as a column it would be copied with each row
+    bits = F.lit(np.array(bitmap(tests).first().bits, np.int64))
+
+    def passes(h: Column) -> Column:
+        first, second = (F.getbit(F.get(bits, F.shiftright(at, 6).cast("int")), F.pmod(at, F.lit(64)).cast("int")) == 1 for at in probes(h))
+        return first & second
+
+    scan = docs.select(F.col(doc).alias("doc_id"), F.coalesce(F.col(doc).cast("string"), F.lit("")).alias("k1"), F.xxhash64(F.col(text)).alias("k2"), words(F.col(text)).alias("words"))
+    scan = stored(prints(scan, short, passes, False), "scan")
+    own = scan.where(F.size("prints") > 0).groupBy("k1", "k2").agg(F.first("prints").alias("prints"))  # equal rows once
+    own = own.select("k1", "k2", F.explode("prints").alias("p")).select("k1", "k2", "p.*")
+    # texts around equal fingerprints once, whatever the number of items that have them
+    contexts = small_side(tests.select("length", "print", F.col("near").alias("other")).distinct(), broadcast_rows)
+    left, right = extended(F.col("near"), F.col("other"))
+    hits = own.join(contexts, ["length", "print"]).select("k1", "k2", "length", "print", "other", "at", (F.col("near") == F.col("other")).alias("same"), left.alias("l"), right.alias("r"))
+    is_short = F.col("length") < 0
+    hits = hits.where(F.when(is_short, F.col("same")).otherwise(F.col("l") + F.col("r") + RUN >= WINDOW))
+    hits = hits.select("k1", "k2", "length", "print", "other", F.when(is_short, F.col("at")).otherwise(F.col("at") - F.col("l")).cast("long").alias("s"), F.when(is_short, -F.col("length")).otherwise(F.col("l") + F.col("r") + RUN).cast("long").alias("n"))
+    hits = stored(hits, "hits")
     start = F.struct(F.lit(0).cast("long").alias("to"), F.lit(0).cast("long").alias("hit"))
 
     def cover(acc: Column, x: Column) -> Column:
-        end = x["s"] + x["length"]
+        end = x["s"] + x["n"]
         return F.struct(F.greatest(acc["to"], end).alias("to"), (acc["hit"] + F.greatest(F.lit(0).cast("long"), end - F.greatest(acc["to"], x["s"]))).alias("hit"))
 
-    per = per.select("doc_id", "n_words", F.aggregate("spans", start, cover, lambda a: a["hit"]).alias("n_hit"), F.size("items").cast("long").alias("n_items"), F.array_join(F.array_sort(F.transform("items", lambda i: i.cast("string"))), ",").alias("listed"), F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))).alias("copy"))
-    return per.select("doc_id", "n_words", "n_hit", "n_items", F.sha2(F.col("listed").cast("binary"), 256).alias("items_sha256"), ((F.col("n_hit") > 0) & (F.col("n_hit") * least_share >= F.col("n_words"))).alias("contaminated"))
+    covered = hits.groupBy("k1", "k2").agg(F.array_sort(F.collect_set(F.struct("s", "n"))).alias("spans")).select("k1", "k2", F.aggregate("spans", start, cover, lambda a: a["hit"]).alias("n_hit"))
+    owners = small_side(tests.where("item is not null").select("item", "length", "print", F.col("near").alias("other")), broadcast_rows)
+    items = hits.select("k1", "k2", "length", "print", "other").distinct().join(owners, ["length", "print", "other"]).select("k1", "k2", F.col("item").cast("string").alias("item")).distinct()
+    items = items.groupBy("k1", "k2").agg(F.count("*").alias("n_items"), F.array_join(F.array_sort(F.collect_list("item")), ",").alias("listed"))  # the list is the result
+    found = small_side(stored(covered.join(items, ["k1", "k2"], "left"), "found"), broadcast_rows)
+    out = scan.select("doc_id", "k1", "k2", F.col("n").cast("long").alias("n_words")).join(found, ["k1", "k2"], "left")
+    n_hit = F.coalesce("n_hit", F.lit(0).cast("long"))
+    return out.select("doc_id", "n_words", n_hit.alias("n_hit"), F.coalesce("n_items", F.lit(0).cast("long")).alias("n_items"), F.sha2(F.coalesce("listed", F.lit("")).cast("binary"), 256).alias("items_sha256"), ((n_hit > 0) & (n_hit * least_share >= F.col("n_words"))).alias("contaminated"))
