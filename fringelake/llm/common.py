@@ -85,6 +85,14 @@ def text_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
 
 
+def free_name(docs: DataFrame, name: str) -> str:
+    """``name``, with underscores until ``docs`` has no such column."""
+    have = {c.lower() for c in docs.columns}
+    while name in have:
+        name += "_"
+    return name
+
+
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
