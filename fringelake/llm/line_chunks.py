@@ -2,15 +2,19 @@
 
 A text's lines are hashed, and a rolling hash over neighbouring line hashes says where chunks end, so boundaries shift
 with the content and not with its place. Chunks of two lines or more that occur more than once in the corpus are
-removed, but for the first occurrence (least document id, then place). Occurrences are found by hash, and every chunk
-whose hash repeats is then grouped by its own bytes: a hash that stands for different texts removes nothing.
+removed, but for the first occurrence (least document id, then place). Occurrences are found by a 128-bit hash in two
+halves, and every chunk whose hash repeats is then grouped by its own bytes. Where one first half stands for several
+chunks, the second tells them apart; a whole hash that stood for several texts would remove nothing.
 
 Defined cases: null stays null and has no lines; one-line chunks and empty texts stay; rows with the same id and text
-keep and lose the same chunks; texts that share an id, or have none, are documents of their own; a null id comes last; an empty table gives no rows; all other columns are passed on.
+keep and lose the same chunks; texts that share an id, or have none, are documents of their own; a null id comes last;
+very long texts are rows like others; an empty table gives no rows; all other columns are passed on, whatever their
+names, but for one that has the result's name, which is replaced.
 """
 
 from __future__ import annotations
 
+import struct
 from collections.abc import Iterator
 
 import numpy as np
@@ -21,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import small_side, steps, stored, text_batches
+from .common import free_name, small_side, steps, stored, text_batches
 
 CUT, LEAST, MOST = 4, 2, 16  # one end in CUT lines on average; lines of a chunk
 _LAST = (1 << 63) - 1
@@ -42,8 +46,12 @@ def chunks(text: str) -> list[list[str]]:
     return out
 
 
+NAMES = ["hash", "check", "k", "h", "place", "chunk"]
+KINDS = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.string()]
+
+
 def chunk_rows(docs: DataFrame, with_text: bool) -> DataFrame:
-    """(hash, k, h, place[, chunk]) of every chunk of two lines or more."""
+    """(hash, check, k, h, place[, chunk]) of every chunk of two lines or more."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in steps(batches):
@@ -53,13 +61,13 @@ def chunk_rows(docs: DataFrame, with_text: bool) -> DataFrame:
                     for place, lines in enumerate(chunks(text)):
                         if len(lines) >= LEAST:
                             chunk = "\n".join(lines)
-                            out.append((xxhash.xxh3_64_intdigest(chunk.encode()) - (1 << 63), k, h, place, chunk))
+                            both = xxhash.xxh3_128_digest(chunk.encode())
+                            out.append((*struct.unpack("<qq", both), k, h, place, chunk))
             if out:
                 columns = list(zip(*out, strict=True))
-                kinds, names = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.string()], ["hash", "k", "h", "place", "chunk"]
-                yield pa.record_batch([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)][: 4 + with_text], names[: 4 + with_text])
+                yield pa.record_batch([pa.array(c, t) for c, t in zip(columns, KINDS, strict=True)][: 5 + with_text], NAMES[: 5 + with_text])
 
-    return docs.mapInArrow(run, "hash long, k long, h long, place int" + ", chunk string" * with_text)
+    return docs.mapInArrow(run, "hash long, check long, k long, h long, place int" + ", chunk string" * with_text)
 
 
 @F.pandas_udf(T.StructType().add("kept", T.StringType()).add("n_lines", T.LongType()).add("n_chunks", T.LongType()).add("n_removed", T.LongType()))
@@ -84,10 +92,13 @@ def line_dedup(docs: DataFrame, doc: str = "doc_id", text: str = "text", result:
     own = F.xxhash64(F.col(text))
     slim = docs.select(key.alias("k"), own.alias("h"), F.col(text).alias("text"))
     rows = stored(chunk_rows(slim, False), "chunks")
-    often = rows.groupBy("hash").agg(F.count("*").alias("n")).where("n > 1").select("hash")
-    texts = chunk_rows(slim, True).join(small_side(often), "hash", "left_semi")
-    same = texts.groupBy("hash", "chunk").agg(F.min(F.struct("k", "h", "place")).alias("first"), F.count("*").alias("n"))  # bytes decide
-    repeated = same.groupBy("hash").agg(F.count("*").alias("texts"), F.min("first").alias("first"), F.max("n").alias("n")).where("texts = 1 and n > 1").select("hash", "first")
-    gone = rows.join(repeated, "hash").where("not (k = first.k and h = first.h and place = first.place)").groupBy("k", "h").agg(F.collect_set("place").alias("gone"))
-    joined = docs.withColumn("_k", key).withColumn("_h", own).join(gone.withColumnsRenamed({"k": "_k", "h": "_h", "gone": "_gone"}), ["_k", "_h"], "left")
-    return joined.withColumn(result, without(F.col(text), F.col("_gone"))).drop("_k", "_h", "_gone")
+    both = ["hash", "check"]
+    often = rows.groupBy(*both).agg(F.count("*").alias("n")).where("n > 1").select(*both)
+    texts = chunk_rows(slim, True).join(small_side(often), both, "left_semi")
+    same = texts.groupBy(*both, "chunk").agg(F.min(F.struct("k", "h", "place")).alias("first"), F.count("*").alias("n"))  # bytes decide
+    repeated = same.groupBy(*both).agg(F.count("*").alias("texts"), F.min("first").alias("first"), F.max("n").alias("n")).where("texts = 1 and n > 1").select(*both, "first")
+    gone = rows.join(repeated, both).where("not (k = first.k and h = first.h and place = first.place)").groupBy("k", "h").agg(F.collect_set("place").alias("gone"))
+    docs = docs.drop(result)
+    k, h, places = (free_name(docs, name) for name in ("_k", "_h", "_gone"))
+    joined = docs.withColumns({k: key, h: own}).join(gone.withColumnsRenamed({"k": k, "h": h, "gone": places}), [k, h], "left")
+    return joined.withColumn(result, without(F.col(text), F.col(places))).drop(k, h, places)
