@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import decontaminate_winnow, fm_index, line_chunks, merkle, oph_minhash, pack_slack, quality_cotrain, repair_tokens, slot_shards, toxicity_fm
-from .common import read, stored
+from .common import read, shared_dir, stored
 from .tokens import vocabulary
 
 
@@ -36,9 +37,12 @@ def op5_line_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_slot_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The map that decides is a function of the slot and the shard count alone: law ``key``."""
-    slots = slot_shards.first_map(spark, 16)
-    out = slot_shards.place(read(spark, sf_dir, "documents"), slots, slot_shards.grown_map(slots, 16))
+    """The map that decides is a function of the slot and the shard count alone: law ``key``. Both versions are stored, and read back."""
+    table = f"{shared_dir(spark)}/slot-maps-{uuid.uuid4().hex}"
+    first = slot_shards.first_map(spark, 16)
+    slot_shards.save_map(first, table)
+    slot_shards.save_map(slot_shards.grown_map(first, 16), table)
+    out = slot_shards.place(read(spark, sf_dir, "documents"), slot_shards.load_map(spark, table, 1), slot_shards.load_map(spark, table))
     return out.withColumn("law", F.lit("key")).select("doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard", "virtual_slot", "slot_bytes", "map_version")
 
 

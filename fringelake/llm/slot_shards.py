@@ -5,7 +5,8 @@ versioned table maps slots to shards. A slot map has ``n_slots`` rows whatever t
 collected. Growing or rebalancing edits the map: only the records of moved slots change their shard.
 
 Defined cases: a null key hashes as the empty string; a null text has no bytes; repeated rows get places of their
-own, one after another; an empty table gives no rows; other columns of the input are not read.
+own, one after another; rows of one key, or of none, share a slot but are ranked in ``PARTS`` parts by their texts; an
+empty table gives no rows; other columns of the input are not read, whatever their names.
 """
 
 from __future__ import annotations
@@ -14,6 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 N_SLOTS = 4096
+PARTS = 16  # of a slot, ranked apart: a slot with a hot key is no single task
 
 
 def slot_of(key: Column, n_slots: int = N_SLOTS) -> Column:
@@ -78,31 +80,34 @@ def load_map(spark: SparkSession, path: str, version: int | None = None) -> Data
     return table.where(F.col("version") == version).select("version", "slot", "shard")
 
 
-def slot_loads(records: DataFrame) -> DataFrame:
+def slot_loads(records: DataFrame, by: tuple[str, ...] = ("virtual_slot",)) -> DataFrame:
     """Rows and bytes per slot of ``records (virtual_slot, size, n)``, combined before the shuffle."""
-    return records.groupBy("virtual_slot").agg(F.sum("n").alias("rows"), F.sum(F.col("n") * F.col("size")).alias("bytes"))
+    return records.groupBy(*by).agg(F.sum("n").alias("rows"), F.sum(F.col("n") * F.col("size")).alias("bytes"))
 
 
 def place(docs: DataFrame, slots: DataFrame, grown: DataFrame | None = None, key: str = "doc_id", text: str = "text", n_slots: int = N_SLOTS) -> DataFrame:
     """Each document's shard under ``slots``, its place there (gapless from 0), and its shard under ``grown``.
 
-    Places: slots of a shard follow one another, so a place is its slot's base plus a rank within the slot. No task
-    holds more than a slot; identical rows are counted before they are ranked, so a repeated key is no hot group.
+    Places: slots of a shard follow one another, and the parts of a slot, so a place is its part's base plus a rank within
+    the part. Identical rows are counted before they are ranked, so a repeated row is no hot group.
     """
     data = F.coalesce(F.col(text), F.lit(""))
     records = docs.select(F.col(key).alias("doc_id"), (F.octet_length(data) + 1).cast("long").alias("size"), F.crc32(data.cast("binary")).alias("text_crc32"), slot_of(F.col(key), n_slots).alias("virtual_slot"))
     records = records.groupBy("doc_id", "size", "text_crc32", "virtual_slot").agg(F.count("*").alias("n"))
+    records = records.withColumn("part", F.pmod(F.xxhash64("doc_id", "size", "text_crc32"), F.lit(PARTS)).cast("int"))
     maps = slots.select(F.col("slot").alias("virtual_slot"), "shard", F.col("version").alias("map_version"))
     if grown is not None:
         maps = maps.join(grown.select(F.col("slot").alias("virtual_slot"), F.col("shard").alias("grown_shard")), "virtual_slot")
     else:
         maps = maps.withColumn("grown_shard", F.lit(None).cast("int"))
-    before = Window.partitionBy("shard").orderBy("virtual_slot").rowsBetween(Window.unboundedPreceding, -1)
-    maps = maps.join(slot_loads(records), "virtual_slot").select("*", F.coalesce(F.sum("rows").over(before), F.lit(0)).alias("base"))
-    within = Window.partitionBy("virtual_slot").orderBy("doc_id", "size", "text_crc32").rowsBetween(Window.unboundedPreceding, -1)
+    loads = slot_loads(records, ("virtual_slot", "part"))  # at most n_slots * PARTS rows
+    whole = Window.partitionBy("virtual_slot")
+    before = Window.partitionBy("shard").orderBy("virtual_slot", "part").rowsBetween(Window.unboundedPreceding, -1)
+    maps = maps.join(loads, "virtual_slot").select("*", F.sum("bytes").over(whole).alias("slot_bytes"), F.coalesce(F.sum("rows").over(before), F.lit(0)).alias("base"))
+    within = Window.partitionBy("virtual_slot", "part").orderBy("doc_id", "size", "text_crc32").rowsBetween(Window.unboundedPreceding, -1)
     ranked = records.withColumn("ahead", F.coalesce(F.sum("n").over(within), F.lit(0)))
-    placed = ranked.join(F.broadcast(maps), "virtual_slot")  # at most n_slots rows
+    placed = ranked.join(F.broadcast(maps), ["virtual_slot", "part"])  # at most n_slots * PARTS rows
     return placed.select(
-        "doc_id", "size", "text_crc32", "shard", "grown_shard", "virtual_slot", F.col("bytes").alias("slot_bytes"), "map_version",
+        "doc_id", "size", "text_crc32", "shard", "grown_shard", "virtual_slot", "slot_bytes", "map_version",
         F.explode(F.sequence(F.col("base") + F.col("ahead"), F.col("base") + F.col("ahead") + F.col("n") - 1)).alias("slot"),
     )
