@@ -3,11 +3,13 @@
 Terms are a text's distinct words (A-Z lower-cased) and word beginnings of six bytes, hashed into ``DIMS`` features. The
 machine has a weight per feature and ``RANK`` latent factors whose inner products weigh pairs, so two terms together can
 say what neither says alone; pair sums cost one pass per factor. It is trained by Adagrad on the logistic loss over at
-most ``SAMPLE`` labelled documents, taken by a hash of their ids; the model is a fixed number of floats.
+most ``SAMPLE`` labelled documents with at most ``SAMPLE_BYTES`` of features, taken by a hash of their ids; the model is a
+fixed number of floats.
 
 Defined cases: null, empty and wordless texts get the bias's score; labels that are null are not learnt from; a document
-labelled twice counts by its highest label; without any label the score is 0.5 throughout; an empty table gives no
-rows; other columns of the inputs are not read.
+labelled twice counts by its highest label; of several texts under one id, one is learnt from (the least hash); without
+any label the score is 0.5 throughout; very long texts are scored whole; an empty table gives no rows; other columns of
+the inputs are not read, whatever their names.
 """
 
 from __future__ import annotations
@@ -19,13 +21,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import Words, steps, text_batches, utf8
+from .common import Words, dropped, steps, stored, text_batches, utf8
 
-BITS, RANK, SAMPLE = 18, 6, 20_000
+BITS, RANK, SAMPLE, SAMPLE_BYTES = 18, 6, 20_000, 64 << 20
 DIMS = 1 << BITS
 BEGIN = 6
 EPOCHS, BATCH, RATE, DECAY, LEAST_DOCS = 20, 256, 0.15, 1e-3, 4
-LEAST_Z, PAIR_Z, FREQUENT, PAIR_ROWS = 4.0, 6.0, 0.1, 1000
+LEAST_Z, PAIR_Z, FREQUENT, PAIR_ROWS, PAIR_BLOCK = 4.0, 6.0, 0.05, 1000, 1000
 
 
 def terms(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -78,16 +80,19 @@ def chosen(rows: list[np.ndarray], labels: np.ndarray) -> np.ndarray:
     often = np.flatnonzero(~out & (both >= FREQUENT * every))  # at most the mean row's terms / FREQUENT
     place = np.full(DIMS, -1)
     place[often] = np.arange(len(often))
-    pos2, both2 = np.zeros((2, len(often), len(often)), np.float32)
-    for at in range(0, every, PAIR_ROWS):
-        some = rows[at : at + PAIR_ROWS]
-        have = np.zeros((len(some), len(often)), np.float32)
-        for i, r in enumerate(some):
-            own = place[r]
-            have[i, own[own >= 0]] = 1
-        both2 += have.T @ have
-        pos2 += have.T @ (have * labels[at : at + PAIR_ROWS, None].astype(np.float32))
-    out[often[((both2 >= LEAST_DOCS) & (differs(pos2, both2, ones, every) >= PAIR_Z)).any(axis=0)]] = True
+    tells = np.zeros(len(often), bool)
+    for b in range(0, len(often), PAIR_BLOCK):  # pairs of a block's terms with all: memory goes with the block's size
+        pos2, both2 = np.zeros((2, min(PAIR_BLOCK, len(often) - b), len(often)), np.float32)
+        for at in range(0, every, PAIR_ROWS):
+            some, toxic = rows[at : at + PAIR_ROWS], labels[at : at + PAIR_ROWS] > 0
+            have = np.zeros((len(some), len(often)), np.float32)
+            for i, r in enumerate(some):
+                own = place[r]
+                have[i, own[own >= 0]] = 1
+            both2 += have[:, b : b + PAIR_BLOCK].T @ have
+            pos2 += have[toxic, b : b + PAIR_BLOCK].T @ have[toxic]
+        tells[b : b + PAIR_BLOCK] = ((both2 >= LEAST_DOCS) & (differs(pos2, both2, ones, every) >= PAIR_Z)).any(axis=1)
+    out[often[tells]] = True
     return out
 
 
@@ -131,23 +136,29 @@ def held_out(doc: Column) -> Column:
 
 
 def sample_rows(docs: DataFrame, labels: DataFrame, label: str, sample: int, doc: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, label, text) of at most ``sample`` labelled documents that are not held out; the labels' side is that small."""
+    """(h, label, text) of at most ``sample`` labelled documents that are not held out, one row an id; h is a hash of the id."""
     some = labels.select(F.col(doc).alias("doc_id"), F.col(label).cast("int").alias("label")).where("label is not null and doc_id is not null").where(~held_out(F.col("doc_id")))
     some = some.groupBy("doc_id").agg(F.max("label").alias("label")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
-    return docs.select(F.col(doc).alias("doc_id"), F.col(text).alias("text")).join(F.broadcast(some), "doc_id")
+    rows = docs.select(F.col(doc).alias("doc_id"), F.col(text).alias("text")).join(F.broadcast(some), "doc_id")
+    one = rows.groupBy("doc_id").agg(F.max("label").alias("label"), F.min(F.struct(F.xxhash64("text").alias("t"), "text")).alias("one"))
+    return one.select(F.xxhash64("doc_id").alias("h"), "label", F.col("one.text").alias("text"))
 
 
-def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", sample: int = SAMPLE, doc: str = "doc_id", text: str = "text") -> Machine:
+def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", sample: int = SAMPLE, doc: str = "doc_id", text: str = "text", sample_bytes: int = SAMPLE_BYTES) -> Machine:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in steps(batches):
-            row, feature = terms(batch.column(1))
+            row, feature = terms(batch.column(2))
             cut = np.searchsorted(row, np.arange(batch.num_rows + 1))
             data = [feature[a:b].astype("<i4").tobytes() for a, b in zip(cut[:-1], cut[1:], strict=True)]
-            yield pa.record_batch([batch.column(0), pa.array(data, pa.binary())], ["label", "features"])
+            yield pa.record_batch([batch.column(0), batch.column(1), pa.array(data, pa.binary())], ["h", "label", "features"])
 
     text_batches(docs.sparkSession)
-    rows = sample_rows(docs, labels, label, sample, doc, text).select("label", "text").mapInArrow(run, "label int, features binary").orderBy("features", "label").collect()  # at most `sample`
-    return train([np.frombuffer(r.features, "<i4") for r in rows], np.array([r.label for r in rows], float))
+    rows = stored(sample_rows(docs, labels, label, sample, doc, text).mapInArrow(run, "h long, label int, features binary"), "features")
+    size = rows.select("h", F.octet_length("features").alias("n")).orderBy("h").toPandas()  # at most `sample` rows of two numbers
+    fits = size.h[size.n.cumsum() <= sample_bytes]
+    kept = sorted(rows.where(F.col("h") <= int(fits.max())).collect(), key=lambda r: (r.h, r.features)) if len(fits) else []
+    dropped(rows)
+    return train([np.frombuffer(r.features, "<i4") for r in kept], np.array([r.label for r in kept], float))
 
 
 def score(docs: DataFrame, machine: Machine, doc: str = "doc_id", text: str = "text") -> DataFrame:
