@@ -1,11 +1,11 @@
 """Token ids in a binary format compressed by Re-Pair.
 
 Documents are dealt into ranges of ascending ids; each range is a shard, written as blocks of about ``BLOCK`` ids. In a
-block, the most frequent pairs of neighbouring symbols become nonterminals, again and again, for ``ROUNDS`` rounds of up
-to ``RULES`` rules; pairs never reach across documents. A block stores its rules, every symbol's expansion length, and
-each document's place, so any slice of any document is decoded without the rest.
+block, the most frequent pairs of neighbouring symbols become nonterminals, ``RULES`` at a time, again and again until no
+pair occurs twice or the format's 65,536 symbols are used up; pairs never reach across documents. A block stores its
+rules, every symbol's expansion length, and each document's place, so any slice of any document is decoded without the rest.
 
-A payload: ``FORMAT`` header (counts), then rules (pairs of u16), expansion lengths (u32), document ids (i64) with a
+A payload: ``FORMAT`` header (the first nonterminal, which is the vocabulary's size; counts), then rules (pairs of u16), expansion lengths (u32), document ids (i64) with a
 null mask (u8), symbol bounds (u32), id counts (u32) and the symbols (u16), all little-endian.
 
 Defined cases: null and empty texts are the end id alone; null ids come first; rows with the same id follow one another
@@ -27,10 +27,10 @@ from pyspark.sql import functions as F
 from .common import steps, text_batches, utf8
 from .tokens import STEP, tokens_of
 
-FIRST_RULE = 49_408  # symbols from here on are nonterminals; below, ids
-BLOCK, ROUNDS, RULES, LEAST = 1 << 20, 4, 4000, 12
-FORMAT = "<8sIII"
-MAGIC = b"FLRP0001"
+BLOCK, RULES, LEAST = 1 << 20, 4096, 2  # ids of a block; pairs replaced at a time; occurrences that make a pair worth a rule
+SYMBOLS = 1 << 16
+FORMAT = "<8sIIII"
+MAGIC = b"FLRP0002"
 BLOCKS = "shard int, block int, first_id long, n_ids long, payload binary"
 
 
@@ -45,16 +45,16 @@ def counted(pair: np.ndarray, slot: np.ndarray, n_slots: int) -> tuple[np.ndarra
     return np.concatenate([found, rest]), place
 
 
-def compress(ids: np.ndarray, bounds: np.ndarray, rounds: int = ROUNDS, rules: int = RULES, least: int = LEAST) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def compress(ids: np.ndarray, bounds: np.ndarray, first: int, rules: int = RULES) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Symbols, their bounds by document, the rules (left, right), and the length that each rule expands to."""
     seq = ids.astype(np.uint32)
     opens = np.zeros(len(seq) + 1, bool)
     opens[bounds] = True
     made: list[np.ndarray] = []
-    lengths = [np.ones(FIRST_RULE, np.int64)]
-    top = FIRST_RULE
-    for _ in range(rounds):
-        room = min(rules, (1 << 16) - top)
+    lengths = [np.ones(first, np.int64)]
+    top, least = first, LEAST
+    while True:
+        room = min(rules, SYMBOLS - top)
         if len(seq) < 2 or room <= 0:
             break
         pair = seq[:-1].astype(np.uint64) << np.uint64(16) | seq[1:]
@@ -91,14 +91,14 @@ def compress(ids: np.ndarray, bounds: np.ndarray, rounds: int = ROUNDS, rules: i
         seq, opens = seq[keep], np.append(opens[:-1][keep], True)
         top += len(best)
     # empty documents do not occur: each has its end id
-    return seq.astype(np.uint16), np.flatnonzero(opens), np.concatenate(made) if made else np.zeros((0, 2), np.uint16), np.concatenate(lengths)[FIRST_RULE:]
+    return seq.astype(np.uint16), np.flatnonzero(opens), np.concatenate(made) if made else np.zeros((0, 2), np.uint16), np.concatenate(lengths)[first:]
 
 
-def to_bytes(doc_ids: list, ids: np.ndarray, bounds: np.ndarray, **options) -> bytes:
-    symbols, places, rules, lengths = compress(ids, bounds, **options)
+def to_bytes(doc_ids: list, ids: np.ndarray, bounds: np.ndarray, first: int) -> bytes:
+    symbols, places, rules, lengths = compress(ids, bounds, first)
     null = np.array([d is None for d in doc_ids], np.uint8)
     return b"".join([
-        struct.pack(FORMAT, MAGIC, len(rules), len(doc_ids), len(symbols)), rules.astype("<u2").tobytes(), lengths.astype("<u4").tobytes(), np.array([d or 0 for d in doc_ids], "<i8").tobytes(),
+        struct.pack(FORMAT, MAGIC, first, len(rules), len(doc_ids), len(symbols)), rules.astype("<u2").tobytes(), lengths.astype("<u4").tobytes(), np.array([d or 0 for d in doc_ids], "<i8").tobytes(),
         null.tobytes(), places.astype("<u4").tobytes(), np.diff(bounds).astype("<u4").tobytes(), symbols.astype("<u2").tobytes(),
     ])
 
@@ -107,7 +107,7 @@ class Block:
     """A payload, opened for reading."""
 
     def __init__(self, payload: bytes) -> None:
-        magic, n_rules, n_docs, n_symbols = struct.unpack_from(FORMAT, payload)
+        magic, self.first, n_rules, n_docs, n_symbols = struct.unpack_from(FORMAT, payload)
         if magic != MAGIC:
             raise ValueError("not a block of this format")
         at = struct.calcsize(FORMAT)
@@ -119,7 +119,7 @@ class Block:
             return got
 
         self.rules = take("<u2", 2 * n_rules).reshape(-1, 2)
-        self.lengths = np.concatenate([np.ones(FIRST_RULE, np.int64), take("<u4", n_rules)])
+        self.lengths = np.concatenate([np.ones(self.first, np.int64), take("<u4", n_rules)])
         ids, null = take("<i8", n_docs), take("u1", n_docs)
         self.doc_ids = [None if z else d for d, z in zip(ids.tolist(), null.tolist(), strict=True)]
         self.places, self.counts, self.symbols = take("<u4", n_docs + 1), take("<u4", n_docs), take("<u2", n_symbols)
@@ -127,12 +127,12 @@ class Block:
     def expand(self, symbols: np.ndarray) -> np.ndarray:
         """The ids that symbols stand for: nonterminals are replaced until none is left, at most once per round of rules."""
         seq = symbols.astype(np.int64)
-        while (deep := seq >= FIRST_RULE).any():
+        while (deep := seq >= self.first).any():
             size = np.where(deep, 2, 1)
             ends = np.cumsum(size)
             out = np.empty(ends[-1], np.int64)
             out[(ends - 1)[~deep]] = seq[~deep]
-            pair = self.rules[seq[deep] - FIRST_RULE]
+            pair = self.rules[seq[deep] - self.first]
             out[(ends - 2)[deep]], out[(ends - 1)[deep]] = pair[:, 0], pair[:, 1]
             seq = out
         return seq.astype(np.uint32)
@@ -162,7 +162,7 @@ def encode(docs: DataFrame, path: str, doc: str = "doc_id", text: str = "text",
             nonlocal number, first, held, size
             ids = np.concatenate([x[1] for x in held])
             bounds = np.concatenate([[0], np.cumsum(np.concatenate([np.diff(x[2]) for x in held]))])
-            row = [shard, number, first, len(ids), to_bytes([d for x in held for d in x[0]], ids, bounds)]
+            row = [shard, number, first, len(ids), to_bytes([d for x in held for d in x[0]], ids, bounds, tokens_of(path).size)]
             number, first, held, size = number + 1, first + len(ids), [], 0
             return pa.record_batch([pa.array([v], t) for v, t in zip(row, (pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.binary()), strict=True)], ["shard", "block", "first_id", "n_ids", "payload"])
 

@@ -1,11 +1,13 @@
 """Token ids of whole texts by a public tokenizer, with each distinct word encoded once per worker.
 
-The tokenizer's own pattern never reaches across white space, so a text's ids are its words' ids one after another.
-Words are found and counted in Arrow; the tokenizers library encodes what is new, and a bounded cache keeps it.
+Where the file's normalizer and pattern are those of ``_KNOWN`` (checked when it is loaded), the pattern never reaches
+across white space, so a text's ids are its words' ids one after another: words are found and counted in Arrow, the
+tokenizers library encodes what is new, and a bounded cache keeps it. With any other file, whole texts go to the library.
 """
 
 from __future__ import annotations
 
+import json
 import os
 import re
 from array import array
@@ -20,6 +22,18 @@ CACHE_WORDS, CACHE_BYTES = 1_000_000, 64  # parts kept, and the longest of them
 STEP = 6 << 20  # bytes of text per vectorised step
 _have: dict[str, "WordTokens"] = {}
 
+# The normalizer and the pre-tokenizer that encoding word by word relies on.
+_KNOWN = {
+    "normalizer": {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]},
+    "pre_tokenizer": {
+        "type": "Sequence",
+        "pretokenizers": [
+            {"type": "Split", "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"}, "behavior": "Removed", "invert": True},
+            {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+        ],
+    },
+    "post_processor": None,
+}
 # The tokenizer's pattern on lower-case ASCII: the pieces that it makes of a word.
 _ASCII_PIECE = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\x20\x09-\x0Da-z0-9]+")
 # Letters whose composed form and lower case are one character each, so a word of them is one piece.
@@ -46,7 +60,10 @@ class WordTokens:
         self.tokenizer = Tokenizer.from_file(path)
         if self.tokenizer.get_vocab_size() >= 1 << 16:
             raise ValueError("ids must fit 16 bits")
+        self.size = self.tokenizer.get_vocab_size()
         self.model = self.tokenizer.model
+        kind = json.loads(self.tokenizer.to_str())
+        self.by_word = all(kind.get(k) == v for k, v in _KNOWN.items()) and kind["model"]["type"] == "BPE" and not kind["model"].get("dropout") and all("<|" in t["content"] for t in kind["added_tokens"])
         self.have: dict[bytes, bytes] = {}
 
     def of_word(self, word: bytes) -> bytes:
@@ -75,6 +92,8 @@ class WordTokens:
 
     def encode(self, data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts one after another, END_ID after each, and the texts' bounds in them."""
+        if not self.by_word:
+            return self.encode_whole(data, bounds)
         words = Words(data, bounds, hashes=False)
         ends = np.concatenate([[0], np.cumsum(words.ends - words.starts)]).astype(np.int64)
         plain = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(words.starts), [None, pa.py_buffer(ends), pa.py_buffer(words.inner())])
@@ -95,6 +114,11 @@ class WordTokens:
         ends = total[words.of]  # each text's bounds without end ids
         return np.insert(ids, ends[1:], END_ID), ends + np.arange(len(ends))
 
+    def encode_whole(self, data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        raw = data.tobytes()
+        own = [[*self.tokenizer.encode(raw[a:b].decode(), add_special_tokens=False).ids, END_ID] for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)]
+        return np.array([i for ids in own for i in ids], np.uint16), np.concatenate([[0], np.cumsum([len(ids) for ids in own])]).astype(np.int64)
+
 
 def tokens_of(path: str) -> WordTokens:
     """This worker's tokenizer for a vocabulary file."""

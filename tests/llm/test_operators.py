@@ -92,9 +92,17 @@ def test_repair_round_trip(spark, docs, empty):
     rng = np.random.default_rng(0)
     ids = rng.choice([5, 6, 7, 49407], 5000, p=[0.5, 0.3, 0.1, 0.1]).astype(np.uint16)
     bounds = np.array([0, 1, 700, 4000, 5000])
-    b = repair_tokens.Block(repair_tokens.to_bytes([None, 1, 2, 2**62], ids, bounds))
+    b = repair_tokens.Block(repair_tokens.to_bytes([None, 1, 2, 2**62], ids, bounds, tokens_of(vocabulary()).size))
     assert b.doc_ids == [None, 1, 2, 2**62] and len(b.symbols) < 3000
     assert (b.expand(b.symbols) == ids).all()
+    pairs = Counter()  # the grammar is complete: no pair of neighbours in a document occurs twice apart
+    for a, e in zip(b.places[:-1], b.places[1:]):
+        at = {}
+        for i, p in enumerate(zip(b.symbols[a : e - 1].tolist(), b.symbols[a + 1 : e].tolist())):
+            if at.get(p) != i - 1:
+                pairs[p] += 1
+                at[p] = i
+    assert max(pairs.values()) == 1
     for d, s, e in ((1, 0, 5), (2, 100, 333), (2, 3299, 9999), (3, 50, 50)):
         assert (b.ids(d, s, e) == ids[bounds[d] : bounds[d + 1]][s:e]).all()
     rows = sorted(docs.select("doc_id", "text").collect(), key=lambda r: (r.doc_id is not None, r.doc_id or 0, r.text is not None, r.text or ""))
@@ -110,7 +118,7 @@ def test_repair_round_trip(spark, docs, empty):
 def test_merkle(spark, docs, empty):
     got = merkle.fingerprints(docs).collect()
     assert len(got) == docs.count()
-    rows = sorted(docs.select("doc_id", "text").collect(), key=lambda r: (r.doc_id is None, -(r.doc_id or 0), r.text or ""))
+    rows = sorted(docs.select("doc_id", "text").collect(), key=lambda r: (r.doc_id is None, -(r.doc_id or 0)))
     want = {}
     for r, n in zip(rows, rows[1:] + rows[:1]):
         t, u = r.text or "", n.text or ""
@@ -121,7 +129,7 @@ def test_merkle(spark, docs, empty):
         assert r.near_edited == merkle.likeness(r.fingerprint, r.edited_fingerprint) and 0 <= r.near_edited <= 1
     assert merkle.fingerprints(empty).count() == 0
     a, b = merkle.fingerprint("p\nq\n\nr"), merkle.fingerprint("p\nz\n\nr")
-    assert merkle.edits(a, b) == [(0, 1)] and merkle.edits(a, a) == [] and merkle.fingerprint("a. b") != merkle.fingerprint("a\nb")
+    assert merkle.edits(a, b) == [(0, 1, 0)] and merkle.edits(a, a) == [] and merkle.fingerprint("a. b") != merkle.fingerprint("a\nb")
 
 
 def test_line_chunks(spark, empty):
