@@ -133,6 +133,8 @@ _MARK = np.array([i < 128 and not chr(i).isalnum() for i in range(256)])
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[0x41:0x5B] += 32
 _PLACES = 64  # places in a word that have values of their own for each byte; later places mix them with their block's number
+#: 1 for a-z; 2 for digits and ASCII marks without the apostrophe, which parts words in ways of its own.
+_KIND = np.array([1 if 97 <= i <= 122 else 2 if 0x21 <= i <= 0x7E and i != 0x27 and not chr(i).isalpha() else 0 for i in range(256)], np.uint8)
 _BYTE = np.random.default_rng(7).integers(0, 2**63, _PLACES * 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _ODD, _Q = np.uint64(0x9E3779B97F4A7C15), 0xD6E8FEB86659FD93
 _powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
@@ -160,10 +162,11 @@ def mixed(h: np.ndarray) -> np.ndarray:
 class Words:
     """The words of many texts: bounds in the bytes, 64-bit hashes, and each text's share.
 
-    Words are ``[^\\x20\\x09-\\x0D]+``, or with ``plain`` runs of ASCII letters, digits and bytes beyond ASCII.
+    Words are ``[^\\x20\\x09-\\x0D]+``, or with ``plain`` runs of ASCII letters, digits and bytes beyond ASCII. With
+    ``fine`` they also end between a-z and an ASCII mark or digit.
     """
 
-    def __init__(self, data: np.ndarray, bounds: np.ndarray, lower: bool = False, hashes: bool = True, plain: bool = False) -> None:
+    def __init__(self, data: np.ndarray, bounds: np.ndarray, lower: bool = False, hashes: bool = True, plain: bool = False, fine: bool = False) -> None:
         self.data = data = _LOWER[data] if lower else data
         n = len(data)
         self.white = white = (_MARK if plain else _WHITE)[data]
@@ -178,6 +181,11 @@ class Words:
         inner = bounds[(bounds > 0) & (bounds < n)]
         before[inner] = True
         after[inner - 1] = True
+        if fine and n > 1:
+            kind = _KIND[data]
+            parted = kind[:-1] + kind[1:] == 3
+            before[1:] |= parted
+            after[:-1] |= parted
         self.starts = np.flatnonzero(~white & before)
         self.ends = np.flatnonzero(~white & after) + 1
         self.of = np.searchsorted(self.starts, bounds)

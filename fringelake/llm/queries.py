@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from . import decontaminate_winnow, fm_index, line_chunks, merkle, oph_minhash, pack_slack, quality_cotrain, repair_tokens, slot_shards, toxicity_fm
 from .common import read, shared_dir, stored
+from .sql import oracle_sql as oracle_sql
 from .tokens import vocabulary
 
 
@@ -66,7 +67,3 @@ def op10_min_slack_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: f for k, f in globals().items() if k.startswith("op") and k[2].isdigit()}
-
-
-def oracle_sql() -> dict[str, str]:
-    return {}

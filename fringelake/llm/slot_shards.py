@@ -94,7 +94,7 @@ def place(docs: DataFrame, slots: DataFrame, grown: DataFrame | None = None, key
     data = F.coalesce(F.col(text), F.lit(""))
     records = docs.select(F.col(key).alias("doc_id"), (F.octet_length(data) + 1).cast("long").alias("size"), F.crc32(data.cast("binary")).alias("text_crc32"), slot_of(F.col(key), n_slots).alias("virtual_slot"))
     records = records.groupBy("doc_id", "size", "text_crc32", "virtual_slot").agg(F.count("*").alias("n"))
-    records = records.withColumn("part", F.pmod(F.xxhash64("doc_id", "size", "text_crc32"), F.lit(PARTS)).cast("int"))
+    records = records.withColumn("part", F.pmod("text_crc32", F.lit(PARTS)).cast("int"))
     maps = slots.select(F.col("slot").alias("virtual_slot"), "shard", F.col("version").alias("map_version"))
     if grown is not None:
         maps = maps.join(grown.select(F.col("slot").alias("virtual_slot"), F.col("shard").alias("grown_shard")), "virtual_slot")

@@ -72,8 +72,12 @@ class WordTokens:
             return self.of_part(word)
         low = word.lower()  # the tokenizer folds case itself
         if low.isalpha():
-            return self.of_part(low)
-        return b"".join(self.of_part(x.encode()) for x in _ASCII_PIECE.findall(low.decode()))
+            got = self.of_part(low)
+        else:
+            got = b"".join([self.of_part(x.encode()) for x in _ASCII_PIECE.findall(low.decode())])
+        if len(word) <= CACHE_BYTES:
+            self.have[word] = got
+        return got
 
     def of_part(self, part: bytes) -> bytes:
         got = self.have.get(part)
@@ -94,7 +98,9 @@ class WordTokens:
         """The ids of all texts one after another, END_ID after each, and the texts' bounds in them."""
         if not self.by_word:
             return self.encode_whole(data, bounds)
-        words = Words(data, bounds, hashes=False)
+        # case is folded first, unless that may make a special token
+        special = b"<|" in data.tobytes()
+        words = Words(data, bounds, lower=not special, hashes=False, fine=not special)
         ends = np.concatenate([[0], np.cumsum(words.ends - words.starts)]).astype(np.int64)
         plain = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(words.starts), [None, pa.py_buffer(ends), pa.py_buffer(words.inner())])
         coded = plain.dictionary_encode()
