@@ -86,3 +86,36 @@ def times_conj(ar: Column, ai: Column, br: Column, bi: Column) -> tuple[Column,
 
 def flip(row: Column, n_rows: int) -> Column:
     return F.lit(n_rows - 1) - row
+
+
+# --- masks and comparisons: 1, 0, or missing where either side is missing -----------------------------------------
+
+
+def compared(a: Column, op: str, b: Column) -> Column:
+    """``op``: ge, le, gt, lt or eq."""
+    test = {"ge": a >= b, "le": a <= b, "gt": a > b, "lt": a < b, "eq": a == b}[op]
+    return test.cast("double")
+
+
+def either(a: Column, b: Column) -> Column:
+    """``a`` where it is known, else ``b``."""
+    return F.coalesce(a, b)
+
+
+def fraction_of(re: Column, im: Column, power: Column) -> Column:
+    """Coherence of a complex product over the square root of two powers' product; missing where that is next to nothing."""
+    return F.when(power >= 5e-21, F.hypot(re, im) / F.sqrt(power))
+
+
+def cosd(degrees: Column) -> Column:
+    return F.cos(F.radians(degrees))
+
+
+def product(re: Column, im: Column, re2: Column, im2: Column) -> tuple[Column, Column]:
+    return re * re2 - im * im2, re * im2 + im * re2
+
+
+def mai_phase(fr: Column, fi: Column, br: Column, bi: Column, separation: float, prf: float, pixel: float) -> Column:
+    """Along-track displacement from the forward and backward looks' interferograms."""
+    re, im = product(fr, fi, br, -bi)
+    return F.atan2(im * 3e5, re * 3e5) / (2 * math.pi * separation * prf) * pixel

@@ -42,3 +42,15 @@ def bilinear(points: DataFrame, grid: DataFrame) -> DataFrame:
     near = points.select("pid", corner.alias("k")).select("pid", "k.r", "k.c", "k.w").where("w > 0")
     found = near.join(grid, ["r", "c"], "left").groupBy("pid").agg(F.sum(F.col("w") * F.col("z")).alias("z"), F.count_if(F.col("z").isNull()).alias("gaps"))
     return found.select("pid", F.when(F.col("gaps") == 0, F.col("z")).alias("z"))
+
+
+def symmetric_both(pairs: DataFrame, days: int = 5) -> DataFrame:
+    """Edges of ``symmetric`` and those that continue them: both halves of a time-symmetric couple."""
+    turned = pairs.select((-F.col("rep")).alias("ref"), (-F.col("ref")).alias("rep"), "d1", "d2")
+    return symmetric(pairs, days).union(symmetric(turned, days).select(-F.col("rep"), -F.col("ref"))).distinct()
+
+
+def orphans(left: DataFrame, right: DataFrame, key: str, lacks_right: str, lacks_left: str, least: int) -> DataFrame:
+    """(key, what) of the rows without a partner; nothing at all if fewer than ``least`` have one."""
+    out = left.join(right, key, "left_anti").select(key, F.lit(lacks_right).alias("what")).union(right.join(left, key, "left_anti").select(key, F.lit(lacks_left)))
+    return out.where(left.join(right, key, "left_semi").limit(least).agg(F.count("*")).scalar() >= least)

@@ -70,10 +70,11 @@ def edge_marks(v):
     return p.select(F.explode(F.array(F.struct(F.col("ref").alias("id"), F.lit(1).alias("mark")), F.struct(F.col("rep").alias("id"), F.lit(-1).alias("mark")))).alias("e")).groupBy("e.id").agg(F.sum("e.mark").alias("balance"), F.count("*").alias("degree"))
 
 
-@query(f"with {SCENES} select id, lead(day, 1) over (order by id) - day as dt from scenes")
+@query("select s_nationkey as net, s_suppkey as id, lead(s_suppkey * 12) over (partition by s_nationkey order by s_suppkey) - s_suppkey * 12 as dt from supplier")
 def smooth_rows(v):
-    s = v.scenes()  # ids are contiguous keys of a small dimension: the neighbour is joined, not windowed
-    return s.join(s.select((F.col("id") - 1).alias("id"), F.col("day").alias("after")), "id", "left").select("id", (F.col("after") - F.col("day")).alias("dt"))
+    """Day gaps to the next scene of a network; ids may have gaps."""
+    s = v.table("supplier").select(F.col("s_nationkey").alias("net"), F.col("s_suppkey").alias("id"), (F.col("s_suppkey") * 12).alias("day"))
+    return s.select("net", "id", (F.lead("day").over(Window.partitionBy("net").orderBy("id")) - F.col("day")).alias("dt"))
 
 
 @query(f"with {PAIRS} select ref, rep, round(sqrt(pow(b2 - b1, 2)) * sin(0.65 - 0.1), 9) as b_par, round((b2 - b1) * cos(0.65 - 0.1), 9) as b_perp from pairs")
@@ -289,11 +290,17 @@ def bilinear_sample(v):
     return joins.bilinear(p, v.cells().select("r", "c", "z")).select("pid", F.round("z", 8).alias("z"))
 
 
-@query(f"""with {CELLS}, h as (select r, c, case when (r * 7 + c * 3) % 5 > 1 then z end as z from cells) select r, c, round(coalesce(z, last_value(z ignore nulls) over (partition by r order by c rows between unbounded preceding and current row), first_value(z ignore nulls) over (partition by r order by c rows between current row and unbounded following)), 9) as z from h""")
+@query(f"""with {CELLS}, h as (select r, c, case when (r * 7 + c * 3) % 5 > 1 then z end as z from cells),
+  k as (select *, max(case when z is not null then c end) over (partition by r order by c) as c0, min(case when z is not null then c end) over (partition by r order by c desc) as c1 from h)
+  select k.r, k.c, round(coalesce(k.z, case when c0 is null or c1 - k.c < k.c - c0 then b.z else a.z end), 9) as z from k left join h a on a.r = k.r and a.c = c0 left join h b on b.r = k.r and b.c = c1""")
 def nearest_fill_1d(v):
+    """The nearest known cell of the row; the left one of two at the same distance."""
     h = v.cells().select("r", "c", F.when((F.col("r") * 7 + F.col("c") * 3) % 5 > 1, F.col("z")).alias("z"))
     w = Window.partitionBy("r").orderBy("c")
-    return h.select("r", "c", r9(F.coalesce("z", F.last("z", True).over(w.rowsBetween(Window.unboundedPreceding, 0)), F.first("z", True).over(w.rowsBetween(0, Window.unboundedFollowing))), "z"))
+    known = F.when(F.col("z").isNotNull(), F.struct("c", "z"))
+    h = h.select("r", "c", "z", F.last(known, True).over(w.rowsBetween(Window.unboundedPreceding, 0)).alias("a"), F.first(known, True).over(w.rowsBetween(0, Window.unboundedFollowing)).alias("b"))
+    right = F.col("a").isNull() | (F.col("b.c") - F.col("c") < F.col("c") - F.col("a.c"))
+    return h.select("r", "c", r9(F.coalesce("z", F.when(right, F.col("b.z")).otherwise(F.col("a.z"))), "z"))
 
 
 _SWATHS = "left_ as (select r, c, z from cells where c <= 40), right_ as (select r + 2 as r, c - 4 as c, im as z from cells where c >= 32)"
@@ -343,8 +350,8 @@ def goldstein(v):
 
 @query(None)
 def sbas_lsq(v):
-    s = v.stack().where("scene <= 6").select("pixel", F.col("scene").alias("intf"), F.col("z").alias("phase"), A.sigma(F.col("c")).alias("sigma"))
-    return tiles.sbas(s, [(0, 1, 0.0), (1, 2, 0.0), (2, 3, 0.0), (0, 2, 0.0), (1, 3, 0.0), (0, 3, 0.0)], [0, 12, 24, 36])
+    s = v.stack().select("pixel", F.col("scene").alias("intf"), F.col("z").alias("phase"), A.sigma(F.col("c")).alias("sigma"))
+    return tiles.sbas(s, [(0, 1, 0.0), (1, 2, 0.0), (2, 3, 0.0), (3, 4, 0.0), (0, 2, 0.0), (1, 3, 0.0), (2, 4, 0.0)], [0, 12, 24, 36, 48])
 
 
 # --- tables, times, texts ----------------------------------------------------------------------------------------
@@ -360,8 +367,9 @@ def asof_orbit(v):
 @query("with b as (select o_custkey as k, o_orderkey as id, epoch_us(o_orderdate) // 86400000000 as a from orders) select x.id as one, y.id as two, least(x.a, y.a) + 30 - greatest(x.a, y.a) as overlap from b x join b y on x.k = y.k and x.id < y.id and abs(x.a - y.a) < 30")
 def burst_overlap(v):
     b = v.table("orders").select(F.col("o_custkey").alias("k"), F.col("o_orderkey").alias("id"), F.datediff(F.to_date("o_orderdate"), F.lit("1970-01-01").cast("date")).alias("a"))
-    x, y = b.select("k", F.col("id").alias("one"), F.col("a").alias("s")), b.select("k", F.col("id").alias("two"), F.col("a").alias("t"))
-    return x.join(y, "k").where("one < two and abs(s - t) < 30").select("one", "two", (F.least("s", "t") + 30 - F.greatest("s", "t")).alias("overlap"))
+    x = b.select("k", F.col("id").alias("one"), F.col("a").alias("s"), F.explode(F.array(*[F.floor(F.col("a") / 30) + i for i in (-1, 0, 1)])).alias("month"))
+    y = b.select("k", F.col("id").alias("two"), F.col("a").alias("t"), F.floor(F.col("a") / 30).alias("month"))
+    return x.join(y, ["k", "month"]).where("one < two and abs(s - t) < 30").select("one", "two", (F.least("s", "t") + 30 - F.greatest("s", "t")).alias("overlap"))
 
 
 @query("select user_id as scene, event_type as key, max_by(props, event_id) as value from events group by 1, 2")
@@ -409,9 +417,9 @@ def date_and_text(v):
     return v.table("orders").select("o_orderkey", (F.year(d) * 1000 + F.dayofyear(d) - 1).alias("yyyyddd"), F.datediff(d, F.lit("1992-01-01").cast("date")).alias("days"), F.round(F.datediff(d, F.lit("1858-11-17").cast("date")) + (F.hour("o_orderdate") * 3600 + F.minute("o_orderdate") * 60 + F.second("o_orderdate")) / 86400.0, 6).alias("mjd"), F.lpad(F.col("o_orderkey").cast("string"), 9, "0").alias("name"), F.upper(F.substring("o_orderpriority", 1, 3)).alias("code"), F.regexp_replace(d.cast("string"), "[^0-9]", "").alias("stamp"))
 
 
-@query(None)
+@query(r"select page_id, regexp_extract(html, '<title>([^<]*)</title>', 1) as title, len(string_split(html, '<a ')) as links from pages")
 def xml_paths(v):
-    return v.table("pages").select("page_id", F.regexp_extract("html", r"<title>([^<]*)</title>", 1).alias("title"), F.size(F.split("html", "<a ")).alias("links"))
+    return v.table("pages").select("page_id", F.regexp_extract("html", r"<title>([^<]*)</title>", 1).alias("title"), F.size(F.split("html", "<a ")).cast("long").alias("links"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -420,3 +428,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 def oracle_sql() -> dict[str, str]:
     return {k: sql for k, (_, sql) in _found.items() if sql}
+
+
+from . import grids as _grids  # noqa: E402, F401  registers its queries
+from . import networks as _networks  # noqa: E402, F401

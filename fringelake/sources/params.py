@@ -27,3 +27,14 @@ def typed(kv: DataFrame, kinds: dict[str, str], by: str = "scene") -> DataFrame:
 def write_params(kv: DataFrame, path: str, by: str = "scene") -> None:
     """Set keys only, one folder per scene."""
     kv.where("value is not null").select(by, F.concat_ws(" = ", "key", "value").alias("line")).write.partitionBy(by).text(path)
+
+
+def with_defaults(kv: DataFrame, defaults: dict[str, str], by: str = "scene") -> DataFrame:
+    """The keys of ``defaults`` for every scene: its own value, else the default."""
+    every = kv.select(by).distinct().select(by, F.explode(F.create_map(*[F.lit(x) for kv_ in defaults.items() for x in kv_])).alias("key", "unset"))
+    return every.join(kv, [by, "key"], "left").select(by, "key", F.coalesce("value", "unset").alias("value"))
+
+
+def updated(kv: DataFrame, key: str, value: str, by: str = "scene") -> DataFrame:
+    """``kv`` with one key set in every scene."""
+    return kv.where(F.col("key") != key).select(by, "key", "value").unionByName(kv.select(by).distinct().select(by, F.lit(key).alias("key"), F.lit(value).alias("value")))
