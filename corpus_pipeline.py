@@ -2,6 +2,9 @@
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame; it is written and read again as the next stage's docs.
 All but the last return the columns of ``documents``.
+
+Defined cases, for every stage: null, empty and very long texts pass through as their operator defines; null and repeated
+ids are rows of their own; an empty table gives no rows; extra columns of docs, whatever their names, are left out.
 """
 
 from __future__ import annotations
@@ -10,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fringelake.llm import decontaminate_winnow, line_chunks, oph_minhash, pack_slack, quality_cotrain
-from fringelake.llm.common import read, stored
+from fringelake.llm.common import dropped, read, stored
 from fringelake.llm.tokens import vocabulary
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -18,14 +21,14 @@ SHARE = 80  # per cent of the union from which near_dedup links
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the classifier rejects go."""
+    """Documents that the classifier rejects go; without labels of both kinds the labels' share decides for all, and without any label all stay."""
     labels, pages = read(spark, sf_dir, "labels"), read(spark, sf_dir, "pages")
     model = quality_cotrain.fit(docs, labels, pages)
     return quality_cotrain.scored(docs, model, pages, keep_text=True).where("predicted = 1").select(COLUMNS)
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Repeated chunks of lines go, but for the first of each."""
+    """Repeated chunks of lines go, but for the first of each; no row goes, and a null text stays null."""
     out = line_chunks.line_dedup(docs).withColumn("text", F.col("_cut.kept"))
     return out.withColumn("n_chars", F.length("text").cast("long")).select(COLUMNS)
 
@@ -53,17 +56,23 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of the documents' token ids, packed into sequences; null and empty texts are an end id each."""
     return pack_slack.pack(docs, vocabulary())
 
 
 STAGES = [("quality", quality), ("line_dedup", line_dedup), ("near_dedup", near_dedup), ("decontamination", decontamination), ("packing", packing)]
 
-#: The classifier, the hashes and the tokenizer have no SQL; the stages are tested against plain versions.
+#: The classifier, the chunks and the tokenizer have no SQL; near-dedup, decontamination and packing are tested on planted
+#: rows and by their operators' queries, which have SQL or plain versions.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = read(spark, sf_dir, "documents")
+    """The pieces that the stages make of ``documents``; a stage's table goes when the next one's is written."""
+    docs, before = read(spark, sf_dir, "documents"), None
     for name, stage in STAGES[:-1]:
         docs = stored(stage(spark, docs, sf_dir), name)
+        if before is not None:
+            dropped(before)
+        before = docs
     return STAGES[-1][1](spark, docs, sf_dir)
