@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
@@ -10,18 +10,56 @@ def block(df: DataFrame, size: int, f) -> DataFrame:
     return df.groupBy(F.floor(F.col("r") / size).alias("br"), F.floor(F.col("c") / size).alias("bc")).agg(f("z").alias("z"))
 
 
-def iqr_bounds(df: DataFrame, column: str) -> DataFrame:
-    """Quartiles at positions (n + 1) / 4 and 3 (n + 1) / 4, interpolated; bounds 1.5 ranges beyond. Values are counted, not sorted one by one."""
-    counts = df.where(F.col(column).isNotNull()).groupBy(F.col(column).alias("v")).agg(F.count("*").alias("m"))
-    w = Window.orderBy("v")  # distinct values only
-    c = counts.select("v", F.sum("m").over(w).alias("upto"), F.sum("m").over(w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)).alias("n"))
+HELD = 100_000  # values that a last step may order
+
+
+def at_ranks(df: DataFrame, column: str, ranks: list[int]) -> list[float]:
+    """The values at some ranks (from 1) of a column's order, exactly, without ordering the column.
+
+    For each rank, approximate quantiles bound the value, rows below are counted, and the rest is bounded again, until the
+    bounds meet or hold few enough values to be ordered.
+    """
+    known, out = df.where(F.col(column).isNotNull()).select(F.col(column).alias("v")), []
+    for rank in ranks:
+        rest, n, k = known, known.count(), rank
+        while True:
+            if n <= HELD:
+                out.append(rest.orderBy("v").offset(k - 1).limit(1).first()[0])
+                break
+            low, high = rest.agg(F.percentile_approx("v", [max(0.0, k / n - 0.001), min(1.0, k / n + 0.001)], 10_000)).first()[0]
+            below, inside = rest.agg(F.count_if(F.col("v") < low), F.count_if(F.col("v").between(low, high))).first()
+            if low == high or not below < k <= below + inside or inside == n:
+                if low == high and below < k <= below + inside:
+                    out.append(low)
+                    break
+                # bounds that miss the rank, or do not narrow: half of the values by the middle one
+                mid = rest.agg(F.percentile_approx("v", 0.5, 10_000)).first()[0]
+                upto = rest.where(F.col("v") <= mid).count()
+                rest, n, k = (rest.where(F.col("v") <= mid), upto, k) if k <= upto else (rest.where(F.col("v") > mid), n - upto, k - upto)
+                if rest.agg(F.min("v") == F.max("v")).first()[0]:
+                    out.append(rest.first()[0])
+                    break
+                continue
+            rest, n, k = rest.where(F.col("v").between(low, high)), inside, k - below
+    return out
+
+
+def _row(df: DataFrame, names: list[str], values: list) -> DataFrame:
+    return df.sparkSession.createDataFrame([tuple(None if v is None else float(v) for v in values)], ", ".join(f"{n} double" for n in names))
 
-    def at(position: Column) -> Column:
-        low, high = F.min(F.when(F.col("upto") >= F.greatest(F.floor(position), F.lit(1)), F.col("v"))), F.min(F.when(F.col("upto") >= F.least(F.floor(position) + 1, F.col("n")), F.col("v")))
-        return low + (F.max(position) - F.floor(F.max(position))) * (high - low)
 
-    q = c.agg(at((F.col("n") + 1) * 0.25).alias("q1"), at((F.col("n") + 1) * 0.75).alias("q3"))
-    return q.select("q1", "q3", (F.col("q1") - 1.5 * (F.col("q3") - F.col("q1"))).alias("lo"), (F.col("q3") + 1.5 * (F.col("q3") - F.col("q1"))).alias("hi"))
+def iqr_bounds(df: DataFrame, column: str) -> DataFrame:
+    """Quartiles at positions (n + 1) / 4 and 3 (n + 1) / 4, interpolated; bounds 1.5 ranges beyond."""
+    n = df.where(F.col(column).isNotNull()).count()
+    if not n:
+        return _row(df, ["q1", "q3", "lo", "hi"], [None] * 4)
+    q = []
+    for share in (0.25, 0.75):
+        position = (n + 1) * share
+        whole = int(position)
+        low, high = at_ranks(df, column, [max(1, whole), min(n, whole + 1)])
+        q.append(low + (position - whole) * (high - low))
+    return _row(df, ["q1", "q3", "lo", "hi"], [*q, q[0] - 1.5 * (q[1] - q[0]), q[1] + 1.5 * (q[1] - q[0])])
 
 
 def zscore_bounds(df: DataFrame, column: str, k: float = 3) -> DataFrame:
@@ -29,12 +67,23 @@ def zscore_bounds(df: DataFrame, column: str, k: float = 3) -> DataFrame:
     return df.agg((m - k * s).alias("lo"), (m + k * s).alias("hi"))
 
 
+def lower_median(df: DataFrame, column: str) -> float | None:
+    n = df.where(F.col(column).isNotNull()).count()
+    return at_ranks(df, column, [(n + 1) // 2])[0] if n else None
+
+
+def upper_median(df: DataFrame, column: str) -> DataFrame:
+    n = df.where(F.col(column).isNotNull()).count()
+    return _row(df, ["upper_median"], at_ranks(df, column, [n // 2 + 1]) if n else [None])
+
+
 def mad_bounds(df: DataFrame, column: str) -> DataFrame:
     """Lower medians; bounds 3.29 MAD / 0.6745 about the median."""
-    m = df.agg(F.expr(f"percentile_disc(0.5) within group (order by {column})").alias("m"))
-    d = df.crossJoin(F.broadcast(m))  # one row
-    d = d.groupBy("m").agg(F.expr(f"percentile_disc(0.5) within group (order by abs({column} - m))").alias("mad"))
-    return d.select("m", "mad", (F.col("m") - 3.29 * F.col("mad") / 0.6745).alias("lo"), (F.col("m") + 3.29 * F.col("mad") / 0.6745).alias("hi"))
+    m = lower_median(df, column)
+    if m is None:
+        return _row(df, ["m", "mad", "lo", "hi"], [None] * 4)
+    mad = lower_median(df.select(F.abs(F.col(column) - m).alias("d")), "d")
+    return _row(df, ["m", "mad", "lo", "hi"], [m, mad, m - 3.29 * mad / 0.6745, m + 3.29 * mad / 0.6745])
 
 
 def plane(df: DataFrame) -> DataFrame:

@@ -182,10 +182,7 @@ def mad_bounds(v):
 
 @query(f"with {OFFSETS}, s as (select snr, row_number() over (order by snr) as k, count(*) over () as n from offsets) select max(case when k = n // 2 + 1 then snr end) as upper_median from s")
 def upper_median(v):
-    c = v.offsets().groupBy("snr").agg(F.count("*").alias("m"))
-    w = Window.orderBy("snr")  # distinct values only
-    c = c.select("snr", F.sum("m").over(w).alias("upto"), F.sum("m").over(w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)).alias("n"))
-    return c.where(F.col("upto") >= F.floor(F.col("n") / 2) + 1).agg(F.min("snr").alias("upper_median"))
+    return stats.upper_median(v.offsets(), "snr")
 
 
 @query(f"""with {OFFSETS}, s as (select covar_pop(x, x) as xx, covar_pop(x, y) as xy, covar_pop(y, y) as yy, covar_pop(x, snr) as xz, covar_pop(y, snr) as yz, avg(x) as mx, avg(y) as my, avg(snr) as mz from offsets),

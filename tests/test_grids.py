@@ -134,3 +134,16 @@ def test_geometry_of_the_projected_look(spark):
     e, n, u = (x.alias(k) for x, k in zip(orbits.east_north_up(F.lit(0.0), F.lit(0.0), F.lit(2.0), F.lit(0.0), F.lit(0.0)), "enu"))
     r = spark.range(1).select(e, n, u).first()
     assert (r.e, r.n, r.u) == (pytest.approx(0), pytest.approx(0), pytest.approx(1)) and math.isclose(orbits.E2, 0.00669438, rel_tol=1e-6)
+
+
+def test_exact_ranks_without_ordering(spark, monkeypatch):
+    from fringelake.operators import stats
+
+    monkeypatch.setattr(stats, "HELD", 50)
+    rng = np.random.default_rng(4)
+    x = np.r_[rng.normal(size=4000), np.zeros(3000), np.repeat(7.5, 500)]
+    d = spark.createDataFrame([(float(v),) for v in x] + [(None,)], "v double")
+    ranks = [1, 2000, 3500, 5000, 7100, 7500]
+    assert stats.at_ranks(d, "v", ranks) == np.sort(x)[np.array(ranks) - 1].tolist()
+    assert stats.upper_median(d, "v").first()[0] == np.sort(x)[3750]
+    assert stats.iqr_bounds(d.limit(0), "v").first().q1 is None and stats.mad_bounds(d.where("v = 7.5"), "v").first().mad == 0.0
