@@ -428,5 +428,6 @@ def oracle_sql() -> dict[str, str]:
 
 
 from . import grids as _grids  # noqa: E402, F401  registers its queries
+from . import kernels as _kernels  # noqa: E402, F401
 from . import networks as _networks  # noqa: E402, F401
 from . import products as _products  # noqa: E402, F401

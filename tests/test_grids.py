@@ -147,3 +147,18 @@ def test_exact_ranks_without_ordering(spark, monkeypatch):
     assert stats.at_ranks(d, "v", ranks) == np.sort(x)[np.array(ranks) - 1].tolist()
     assert stats.upper_median(d, "v").first()[0] == np.sort(x)[3750]
     assert stats.iqr_bounds(d.limit(0), "v").first().q1 is None and stats.mad_bounds(d.where("v = 7.5"), "v").first().mad == 0.0
+
+
+def test_kernel_queries_against_closed_forms(spark):
+    got = Q.queries()["orbit_interpolated"](spark, "/root/testdata/sf0.01").toPandas()
+    a = 0.0105 * (got.t - 86400 * 3 - 500) / 10
+    assert len(got) > 900 and np.abs(got.x - 7071000 * np.cos(a) * np.cos(0.2)).max() < 1e-3 and np.abs(got.z - 7071000 * np.sin(a)).max() < 1e-3
+    cells = spark.read.parquet("/root/testdata/sf0.01/lineitem.parquet").groupBy((F.col("l_orderkey") % 64).alias("r"), (F.col("l_partkey") % 64).alias("c")).agg((F.avg("l_extendedprice") / 9973.0).alias("z")).toPandas()
+    known = {(r, c): z for r, c, z in cells.itertuples(index=False)}
+    knots = Q.queries()["row_spline"](spark, "/root/testdata/sf0.01").where("at = floor(at)").collect()
+    assert len(knots) > 3000 and all(r.z == pytest.approx(known[r.r, int(r.at)]) for r in knots if (r.r, int(r.at)) in known)
+    fine = Q.queries()["oversampled_rows"](spark, "/root/testdata/sf0.01").where("k % 4 = 0 and r = 5").orderBy("k").toPandas()
+    row = [known[k] for k in sorted(known) if k[0] == 5]
+    assert np.allclose(fine.re, row)
+    b = Q.queries()["split_bands"](spark, "/root/testdata/sf0.01").where("r = 5").toPandas()
+    assert len(b) == len(row)
