@@ -115,7 +115,7 @@ def frame_tests(v):
 @query(f"""with {STACK} select pixel, scene, round(case when c >= 0.5 then z end, 6) as masked, round(case when c < 0.1 then 0 else z end, 6) as hard, round(case when c < 0.1 then 0 else c end, 6) as corr from stack""")
 def masked_phase(v):
     c = F.col("c")
-    return v.stack().select("pixel", "scene", r6(F.col("z") * F.when(c >= 0.5, 1.0), "masked"), r6(F.when(c < 0.1, 0.0).otherwise(F.col("z")), "hard"), r6(F.when(c < 0.1, 0.0).otherwise(c), "corr"))
+    return v.ordered_stack().select("pixel", "scene", r6(F.col("z") * F.when(c >= 0.5, 1.0), "masked"), r6(F.when(c < 0.1, 0.0).otherwise(F.col("z")), "hard"), r6(F.when(c < 0.1, 0.0).otherwise(c), "corr"))
 
 
 @query(f"""with {CELLS}, k as (select r, c, case when r between 5 and 50 and c between 7 and 60 and z > 3 then z end as z from cells),
