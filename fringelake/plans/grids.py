@@ -140,7 +140,7 @@ def median_clip(v):
 
 @query(f"""with {STACK} select pixel, scene, round(z, 6) as z from stack where c > 0.3 and pixel % 10 = 0""")
 def gated_lines(v):
-    return v.stack().where((F.col("c") > 0.3) & (F.col("pixel") % 10 == 0)).select("pixel", "scene", r6(F.col("z"), "z"))
+    return v.ordered_stack().where((F.col("c") > 0.3) & (F.col("pixel") % 10 == 0)).select("pixel", "scene", r6(F.col("z"), "z"))
 
 
 # --- joins of cells ----------------------------------------------------------------------------------------------

@@ -8,7 +8,7 @@ import pytest
 
 from fringelake.plans import queries as Q
 
-NAMES = ["rank_noise", "masked_phase", "coherence_mask"]
+NAMES = ["rank_noise", "masked_phase", "coherence_mask", "gated_lines"]
 
 
 @pytest.fixture(scope="module")
