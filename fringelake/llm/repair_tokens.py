@@ -29,60 +29,68 @@ from .tokens import STEP, tokens_of
 
 BLOCK, RULES, LEAST = 1 << 20, 4096, 2  # ids of a block; pairs replaced at a time; occurrences that make a pair worth a rule
 SYMBOLS = 1 << 16
+ACROSS = np.uint32(0xFFFFFFFF)  # in place of a pair across documents; symbol 65,535 is the last one, so it is in no pair
+SLOTS = 18  # bits of a hash of chosen pairs
+SHORT = 64  # ids of a rule up to which its expansion is kept
 FORMAT = "<8sIIII"
 MAGIC = b"FLRP0002"
 BLOCKS = "shard int, block int, first_id long, n_ids long, payload binary"
 
 
-def counted(pair: np.ndarray, slot: np.ndarray, n_slots: int) -> tuple[np.ndarray, np.ndarray]:
-    """The distinct pairs, and each row's place among them; only pairs that share a slot with another are sorted."""
-    found = np.zeros(n_slots, np.uint64)
-    found[slot] = pair
-    other = np.flatnonzero(found[slot] != pair)
-    rest, at = np.unique(pair[other], return_inverse=True)
-    place = slot.astype(np.int64)
-    place[other] = n_slots + at
-    return np.concatenate([found, rest]), place
+def counted(pair: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct pairs that occur ``least`` times or more, ascending, and how often they do."""
+    order = np.sort(pair)
+    ends = np.append(np.flatnonzero(order[1:] != order[:-1]), len(order) - 1)
+    n = np.diff(ends, prepend=-1)
+    often = np.flatnonzero(n >= least)
+    found, n = order[ends[often]], n[often]
+    return (found[:-1], n[:-1]) if len(found) and found[-1] == ACROSS else (found, n)
+
+
+def located(pair: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where ``pair`` is one of the ascending ``keys``, and which: by a table of hashes, where two keys share a slot by search."""
+    table = np.full(1 << SLOTS, -1, np.int32)
+    spread, low = np.uint32(0x9E3779B1), np.uint32(32 - SLOTS)
+    table[keys * spread >> low] = np.arange(len(keys))
+    at = table[pair * spread >> low]
+    spots = np.flatnonzero(at >= 0)
+    at, there = at[spots], pair[spots]
+    other = np.flatnonzero(keys[at] != there)
+    near = np.minimum(np.searchsorted(keys, there[other]), len(keys) - 1)
+    at[other] = np.where(keys[near] == there[other], near, -1)
+    return spots[at >= 0], at[at >= 0]
 
 
 def compress(ids: np.ndarray, bounds: np.ndarray, first: int, rules: int = RULES) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Symbols, their bounds by document, the rules (left, right), and the length that each rule expands to."""
-    seq = ids.astype(np.uint32)
+    seq = ids.astype(np.uint16)
     opens = np.zeros(len(seq) + 1, bool)
     opens[bounds] = True
     made: list[np.ndarray] = []
     lengths = [np.ones(first, np.int64)]
-    top, least = first, LEAST
+    top = first
     while True:
         room = min(rules, SYMBOLS - top)
         if len(seq) < 2 or room <= 0:
             break
-        pair = seq[:-1].astype(np.uint64) << np.uint64(16) | seq[1:]
-        bucket = ((pair * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(42)).astype(np.int64)
-        bucket[opens[1 : len(seq)]] = 1 << 22  # no pair across documents
-        count = np.bincount(bucket, minlength=(1 << 22) + 1)
-        count[1 << 22] = 0
-        often = np.flatnonzero(count >= least)
-        floor = max(least, int(np.partition(count[often], -room)[-room])) if len(often) >= room else least
-        often = often[count[often] >= floor]
-        slot = np.full(len(count), -1, np.int32)
-        slot[often] = np.arange(len(often))
-        slot = slot[bucket]
-        spots = np.flatnonzero(slot >= 0)
-        found, inverse = counted(pair[spots], slot[spots], len(often))
-        n = np.bincount(inverse, minlength=len(found))
-        best = np.lexsort((found, -n))[:room]
-        best = best[n[best] >= least]
-        if not len(best):
+        pair = seq[:-1].astype(np.uint32) << np.uint32(16) | seq[1:]
+        pair[opens[1 : len(seq)]] = ACROSS
+        keys, n = counted(pair, LEAST)
+        if not len(keys):
             break
-        number = np.full(len(found), -1, np.int64)
-        number[best] = np.arange(len(best))
-        rule = number[inverse]
-        spots, rule = spots[rule >= 0], rule[rule >= 0]
+        if len(keys) > room:
+            often = np.flatnonzero(n >= np.partition(n, -room)[-room])
+            often = np.sort(often[np.lexsort((keys[often], -n[often]))[:room]])
+            keys, n = keys[often], n[often]
+        best = np.lexsort((keys, -n))
+        number = np.empty(len(keys), np.int64)
+        number[best] = np.arange(len(keys))
+        spots, rule = located(pair, keys)
+        rule = number[rule]
         run = np.concatenate([[True], np.diff(spots) != 1])  # overlapping pairs: every second one of a run holds
         into = np.arange(len(spots)) - np.maximum.accumulate(np.where(run, np.arange(len(spots)), 0))
         spots, rule = spots[into % 2 == 0], rule[into % 2 == 0]
-        made.append(np.stack([found[best] >> np.uint64(16), found[best] & np.uint64(0xFFFF)], 1).astype(np.uint16))
+        made.append(np.stack([keys[best] >> np.uint32(16), keys[best] & np.uint32(0xFFFF)], 1).astype(np.uint16))
         known = np.concatenate(lengths)
         lengths.append(known[made[-1][:, 0]] + known[made[-1][:, 1]])
         seq[spots] = top + rule
@@ -91,7 +99,7 @@ def compress(ids: np.ndarray, bounds: np.ndarray, first: int, rules: int = RULES
         seq, opens = seq[keep], np.append(opens[:-1][keep], True)
         top += len(best)
     # empty documents do not occur: each has its end id
-    return seq.astype(np.uint16), np.flatnonzero(opens), np.concatenate(made) if made else np.zeros((0, 2), np.uint16), np.concatenate(lengths)[first:]
+    return seq, np.flatnonzero(opens), np.concatenate(made) if made else np.zeros((0, 2), np.uint16), np.concatenate(lengths)[first:]
 
 
 def to_bytes(doc_ids: list, ids: np.ndarray, bounds: np.ndarray, first: int) -> bytes:
@@ -124,10 +132,9 @@ class Block:
         self.doc_ids = [None if z else d for d, z in zip(ids.tolist(), null.tolist(), strict=True)]
         self.places, self.counts, self.symbols = take("<u4", n_docs + 1), take("<u4", n_docs), take("<u2", n_symbols)
 
-    def expand(self, symbols: np.ndarray) -> np.ndarray:
-        """The ids that symbols stand for: nonterminals are replaced until none is left, at most once per round of rules."""
-        seq = symbols.astype(np.int64)
-        while (deep := seq >= self.first).any():
+    def unfolded(self, seq: np.ndarray, short: int) -> np.ndarray:
+        """``seq`` with nonterminals of more than ``short`` ids replaced until none is left, at most once per round of rules."""
+        while (deep := self.lengths[seq] > short).any():
             size = np.where(deep, 2, 1)
             ends = np.cumsum(size)
             out = np.empty(ends[-1], np.int64)
@@ -135,7 +142,21 @@ class Block:
             pair = self.rules[seq[deep] - self.first]
             out[(ends - 2)[deep]], out[(ends - 1)[deep]] = pair[:, 0], pair[:, 1]
             seq = out
-        return seq.astype(np.uint32)
+        return seq
+
+    def expand(self, symbols: np.ndarray) -> np.ndarray:
+        """The ids that symbols stand for; where they are many, short rules are expanded once for all."""
+        seq = symbols.astype(np.int64)
+        if len(seq) <= len(self.rules):
+            return self.unfolded(seq, 1).astype(np.uint32)
+        seq = self.unfolded(seq, SHORT)
+        known = np.flatnonzero(self.lengths <= SHORT)
+        size = np.where(self.lengths <= SHORT, self.lengths, 0)
+        start = np.cumsum(size) - size
+        flat = self.unfolded(known, 1).astype(np.uint32)
+        size = size[seq]
+        ends = np.cumsum(size)
+        return flat[np.repeat(start[seq] - ends + size, size) + np.arange(ends[-1])]
 
     def ids(self, doc: int, start: int = 0, stop: int | None = None) -> np.ndarray:
         """Ids start to stop of a document; only the symbols that cover them are expanded."""
