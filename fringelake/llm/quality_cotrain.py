@@ -37,7 +37,8 @@ from .toxicity_fm import held_out
 
 LABELLED, ROUNDS, STEPS, GROWTH, SURE = 8000, 4, 2, 0.08, 2.0
 BINS, REACH = 400, 20.0  # of a margin's counts
-BUCKETS = 32  # rows of sums that reach the driver at most
+BUCKETS = 32  # rows of sums that meet in one task at most
+SLICE = 1024  # rows that the sums of a Newton step take at a time
 LANGS, SOURCES, ENDINGS, WORDS = 8, 32, 8, 64
 
 
@@ -112,9 +113,14 @@ class Logistic:
 
     def sums(self, x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """What the rows add to the second and the first derivatives."""
-        z = self.standard(x)
-        p = 1 / (1 + np.exp(-np.clip(z @ self.weights, -30, 30)))
-        return (z * (p * (1 - p) + 1e-6)[:, None]).T @ z, z.T @ (y - p)
+        d = len(self.weights)
+        second, first = np.zeros((d, d)), np.zeros(d)
+        for at in range(0, len(x), SLICE):
+            z = self.standard(x[at : at + SLICE])
+            p = 1 / (1 + np.exp(-np.clip(z @ self.weights, -30, 30)))
+            second += (z * (p * (1 - p) + 1e-6)[:, None]).T @ z
+            first += z.T @ (y[at : at + SLICE] - p)
+        return second, first
 
     def step(self, second: np.ndarray, first: np.ndarray) -> float:
         penalty = np.full(len(self.weights), self.ridge)
@@ -213,7 +219,10 @@ def co_train(text: np.ndarray, meta: np.ndarray, label: np.ndarray, over: Pass,
 
 
 def passes(pool: DataFrame) -> Pass:
-    """Sums over all rows of ``pool (x, m)``, added up within tasks and in BUCKETS groups of tasks before they reach the driver."""
+    """Sums over all rows of ``pool (x, m)``, added up within tasks, in BUCKETS groups of tasks and in one task: one row reaches the driver.
+
+    A row has half a megabyte, which the driver's JVM holds several times over as it is read, decoded and handed to Python.
+    """
 
     def over(f: Callable[[np.ndarray, np.ndarray], np.ndarray]) -> np.ndarray:
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -223,19 +232,27 @@ def passes(pool: DataFrame) -> Pass:
                     part = f(matrix(batch.column(0), TEXT), matrix(batch.column(1), META))
                     total = part if total is None else total + part
             if total is not None:
-                yield pa.record_batch([pa.array([TaskContext.get().partitionId() % BUCKETS], pa.int32()), pa.array([total.tobytes()], pa.binary()), pa.array([list(total.shape)], pa.list_(pa.int32()))], ["bucket", "total", "shape"])
+                yield pa.record_batch([pa.array([TaskContext.get().partitionId() % BUCKETS], pa.int32()), pa.array([TaskContext.get().partitionId()], pa.int32()), pa.array([total.tobytes()], pa.binary()), pa.array([list(total.shape)], pa.list_(pa.int32()))], ["bucket", "at", "total", "shape"])
 
         def added(table: pa.Table) -> pa.Table:
+            table = table.sort_by("at")  # not as the shuffle brings them
             total = sum(np.frombuffer(x) for x in table["total"].to_pylist())
-            return pa.table({"total": pa.array([total.tobytes()], pa.binary()), "shape": table["shape"][:1]})
+            return pa.table({"at": table["at"][:1], "total": pa.array([total.tobytes()], pa.binary()), "shape": table["shape"][:1]})
+
+        def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            some = [pa.Table.from_batches([b]) for b in batches if b.num_rows]
+            if some:
+                yield from added(pa.concat_tables(some)).to_batches()
 
-        rows = pool.mapInArrow(run, "bucket int, total binary, shape array<int>").groupBy("bucket").applyInArrow(added, "total binary, shape array<int>").collect()  # at most BUCKETS
-        return sum(np.frombuffer(r.total).reshape(r.shape) for r in rows) if rows else np.zeros(0)
+        sums = "at int, total binary, shape array<int>"
+        by_bucket = pool.mapInArrow(run, f"bucket int, {sums}").groupBy("bucket").applyInArrow(added, sums)
+        rows = by_bucket.repartition(1).mapInArrow(whole, sums).collect()  # one task for at most BUCKETS rows
+        return np.frombuffer(rows[0].total).reshape(rows[0].shape) if rows else np.zeros(0)
 
     return over
 
 
-def matrix(column: pa.Array, width: int) -> np.ndarray:
+def matrix(column: pa.Array | pa.ChunkedArray, width: int) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), np.float32).reshape(-1, width).astype(float)
 
 
@@ -250,11 +267,12 @@ def fit(docs: DataFrame, labels: DataFrame, pages: DataFrame, labelled: int = LA
     meta = _packed(meta_features(F.col("lang"), F.col("source"), F.col("n_chars"), F.col("page")))
     table = stored(rows.select("doc_id", "h", "label", "x", meta.alias("m")), "views")
     one = table.where("label is not null").groupBy("doc_id").agg(F.min(F.struct("h", "label", "x", "m")).alias("one")).select("doc_id", "one.*")
-    sample = sorted(one.collect(), key=lambda r: r.doc_id)  # at most `labelled` rows of a fixed width
-    if not sample:
+    sample = one.toArrow().sort_by("doc_id")  # at most `labelled` rows of a fixed width
+    if not sample.num_rows:
         return Model(None, 1.0)
-    text, meta = (np.frombuffer(b"".join(bytes(r[c]) for r in sample), np.float32).reshape(len(sample), -1).astype(float) for c in ("x", "m"))
-    model = co_train(text, meta, np.array([r.label for r in sample]), passes(table.where("label is null").select("x", "m")))
+    text, meta, label = matrix(sample["x"], TEXT), matrix(sample["m"], META), sample["label"].to_numpy()
+    del sample
+    model = co_train(text, meta, label, passes(table.where("label is null").select("x", "m")))
     dropped(table)
     return model
 
