@@ -38,7 +38,7 @@ from .toxicity_fm import held_out
 LABELLED, ROUNDS, STEPS, GROWTH, SURE = 8000, 4, 2, 0.08, 2.0
 BINS, REACH = 400, 20.0  # of a margin's counts
 BUCKETS = 32  # rows of sums that meet in one task at most
-SLICE = 1024  # rows that the sums of a Newton step take at a time
+SLICE, BYTES = 1024, 1 << 19  # rows that the sums of a Newton step take at a time, and bytes that are counted at a time
 LANGS, SOURCES, ENDINGS, WORDS = 8, 32, 8, 64
 
 
@@ -46,8 +46,11 @@ def text_features(column: pa.Array) -> np.ndarray:
     """(rows, features): shares of the 128 ASCII bytes and of the others, shapes of words and lines, shares of hashed words."""
     data, bounds = utf8(column)
     n, size = len(column), np.diff(bounds)
-    row = np.repeat(np.arange(n), size)
-    shares = np.bincount(row * 129 + np.minimum(data, 128), minlength=n * 129).reshape(n, 129) / np.maximum(1, size)[:, None]
+    row, shares = np.repeat(np.arange(n, dtype=np.int32), size), np.zeros(n * 129, np.int64)
+    for at in range(0, len(data), BYTES):
+        shares += np.bincount(row[at : at + BYTES].astype(np.int64) * 129 + np.minimum(data[at : at + BYTES], 128), minlength=n * 129)
+    shares = shares.reshape(n, 129) / np.maximum(1, size)[:, None]
+    del row
     words = Words(data, bounds)
     count = np.diff(words.of)
     of = np.repeat(np.arange(n), count)
